@@ -28,8 +28,8 @@ def equal_width_histogram(df: DataFrame, col: str | Column, n: int) -> DataFrame
     """
     x = (F.col(col) if isinstance(col, str) else col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    lo = vals.select(F.min("x")).scalar()
-    hi = vals.select(F.max("x")).scalar()
+    bounds = vals.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     width = hi - lo
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - lo) / width * n), F.lit(n - 1))
@@ -89,12 +89,11 @@ def kernel_density(df: DataFrame, col: str, grid_points: int = 50) -> DataFrame:
     """
     x = F.col(col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    stats = vals.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"),
-                     F.max("x").alias("hi"))
-    n = stats.select("n").scalar()
-    sd = stats.select("sd").scalar()
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    stats = vals.select(
+        F.struct(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"),
+                 F.max("x").alias("hi"))
+    ).scalar()
+    n, sd, lo, hi = stats["n"], stats["sd"], stats["lo"], stats["hi"]
     h = sd * F.pow(n.cast("double"), F.lit(-0.2))
     step = (hi - lo) / (grid_points - 1)
     distinct = vals.groupBy("x").agg(F.count(F.lit(1)).alias("c"))

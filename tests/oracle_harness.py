@@ -52,9 +52,17 @@ def compare(spark_df, con, sql: str, digits: int = 5):
         return False, f"columns differ: spark={sc} duck={dc}"
     if len(sp) != len(dk):
         return False, f"row count differs: spark={len(sp)} duck={len(dk)}"
-    rows_s = sorted(tuple(_norm(r[c], digits) for c in sc) for r in sp.to_dict("records"))
-    rows_d = sorted(tuple(_norm(r[c], digits) for c in sc) for r in dk.to_dict("records"))
-    for a, b in zip(rows_s, rows_d):
-        if a != b:
+    rows_s = sorted((tuple(_norm(r[c], 3) for c in sc), tuple(_norm(r[c], 9) for c in sc)) for r in sp.to_dict("records"))
+    rows_d = sorted((tuple(_norm(r[c], 3) for c in sc), tuple(_norm(r[c], 9) for c in sc)) for r in dk.to_dict("records"))
+    for (_, a), (_, b) in zip(rows_s, rows_d):
+        if not _close(a, b):
             return False, f"first differing row:\n spark={a}\n duck ={b}"
     return True, f"{len(sp)} rows equal"
+
+
+def _close(a, b) -> bool:
+    if isinstance(a, tuple) and isinstance(b, tuple):
+        return len(a) == len(b) and all(_close(x, y) for x, y in zip(a, b))
+    if isinstance(a, float) and isinstance(b, float):
+        return math.isclose(a, b, rel_tol=1e-6, abs_tol=2e-6)
+    return a == b

@@ -1 +1,177 @@
-"""Registered queries."""
+"""Modeling queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cadenza.operators import modeling as M
+from cadenza.operators.indexing import with_row_index
+from cadenza.plans.catalog import register
+from cadenza.plans.oracle import r, with_ctes
+from cadenza.plans.q_association import build_feature_table
+
+LABEL = "num_followers"
+FEATURES = ["p_size", "p_retailprice", "num_tracks", "num_artists", "num_albums", "genre_count"]
+P, A, B = M.HASH_MODULUS, M.HASH_MULTIPLIER, M.HASH_OFFSET
+U_SQL = f"((((pid % {P}) * {A} + {B}) % {P}) / {float(P)})"
+
+# The undersampled classes are chosen from the data: the most frequent label
+# value and the next most frequent (ties by smaller value); the reference
+# hard-codes 1 and 2 follower(s), its two largest classes.
+_CUT = f"SELECT pid, {LABEL} FROM ftable WHERE {LABEL} < (SELECT quantile_disc({LABEL}, 0.999) FROM ftable)"
+_CLASSES = {
+    "cut": _CUT,
+    "sizes": f"SELECT {LABEL} AS v, count(*) AS n FROM cut GROUP BY 1",
+    "maj": "SELECT v FROM sizes ORDER BY n DESC, v LIMIT 1",
+    "mino": "SELECT v FROM sizes WHERE v <> (SELECT v FROM maj) ORDER BY n DESC, v LIMIT 1",
+    "frac": f"""SELECT least(1.0, CAST((SELECT count(*) FROM cut WHERE {LABEL} = (SELECT v FROM mino)) AS DOUBLE)
+                / NULLIF((SELECT count(*) FROM cut WHERE {LABEL} = (SELECT v FROM maj)), 0)) AS f""",
+    "us": f"""SELECT * FROM cut WHERE {LABEL} > (SELECT v FROM maj)
+              OR ({LABEL} = (SELECT v FROM maj) AND {U_SQL} < (SELECT f FROM frac))""",
+}
+
+
+def _feature_table(spark, d):
+    return build_feature_table(spark, d)
+
+
+def _classes(df):
+    sizes = M.class_sizes(df, LABEL)
+    order = F.struct(F.col("n"), (-F.col(LABEL)).alias("neg"))
+    majority = sizes.select(F.max_by(LABEL, order)).scalar()
+    minority = sizes.where(F.col(LABEL) != majority).select(F.max_by(LABEL, order)).scalar()
+    return majority, minority
+
+
+def _all_techniques(spark, d):
+    """Outliers removed, majority class undersampled, log label (the reference's final run)."""
+    ft = _feature_table(spark, d)
+    cut = M.remove_outliers(ft, LABEL)
+    majority, minority = _classes(cut)
+    return M.log_target(M.undersample(cut, LABEL, majority, minority), LABEL)
+
+
+@register("outlier_cut", with_ctes(["ftable"], f"SELECT pid, {r(LABEL)} AS {LABEL} FROM ({_CUT}) t"), "M1 A9 F4")
+def outlier_cut(spark, d):
+    return M.remove_outliers(_feature_table(spark, d), LABEL).select("pid", LABEL)
+
+
+@register(
+    "undersample_hash",
+    with_ctes(["ftable"], f"SELECT pid, {r(LABEL)} AS {LABEL} FROM us", _CLASSES),
+    "M2 F5 U2 T10",
+)
+def undersample_hash(spark, d):
+    cut = M.remove_outliers(_feature_table(spark, d), LABEL)
+    majority, minority = _classes(cut)
+    return M.undersample(cut, LABEL, majority, minority).select("pid", LABEL)
+
+
+@register(
+    "log_target",
+    with_ctes(["ftable"], f"SELECT pid, {r(f'CASE WHEN {LABEL} > 0 THEN ln({LABEL}) END')} AS {LABEL} FROM ftable"),
+    "M3 X9 T9",
+)
+def log_target(spark, d):
+    return M.log_target(_feature_table(spark, d), LABEL).select("pid", LABEL)
+
+
+@register(
+    "hash_split",
+    with_ctes(["ftable"], f"SELECT pid, CASE WHEN {U_SQL} < 0.8 THEN 'train' ELSE 'test' END AS split FROM ftable"),
+    "M4",
+)
+def hash_split(spark, d):
+    train, test = M.hash_split(_feature_table(spark, d))
+    return train.select("pid", F.lit("train").alias("split")).unionByName(test.select("pid", F.lit("test").alias("split")))
+
+
+def _metrics_sql(source_cte: str, label_expr: str) -> str:
+    return f"""SELECT s AS "set", count(*) AS n, {r('sqrt(avg((y - mu) * (y - mu)))')} AS rmse,
+            {r('1 - sum((y - mu) * (y - mu)) / (var_pop(y) * count(*))')} AS r2
+        FROM (SELECT pid, {label_expr} AS y, CASE WHEN {U_SQL} < 0.8 THEN 'train' ELSE 'test' END AS s
+              FROM {source_cte}) t,
+             (SELECT avg(y) AS mu FROM (SELECT {label_expr} AS y, {U_SQL} AS u FROM {source_cte}) z WHERE u < 0.8) m
+        WHERE y IS NOT NULL
+        GROUP BY s"""
+
+
+def _baseline_metrics(prepared):
+    train, test = M.hash_split(prepared)
+    train, test = M.with_baseline(train, test, LABEL)
+    return M.metrics_table({"train": train, "test": test}, LABEL, "baseline_prediction")
+
+
+@register(
+    "baseline_metrics",
+    with_ctes(["ftable"], _metrics_sql("us", f"CASE WHEN {LABEL} > 0 THEN ln({LABEL}) END"), _CLASSES),
+    "M5 M6 A10 M1 M2 M3 M4",
+)
+def baseline_metrics(spark, d):
+    return _baseline_metrics(_all_techniques(spark, d))
+
+
+@register("regression_metrics", with_ctes(["ftable"], _metrics_sql("ftable", LABEL)), "M6 M5")
+def regression_metrics(spark, d):
+    return _baseline_metrics(_feature_table(spark, d))
+
+
+@register(
+    "unpivot_metrics",
+    with_ctes(["ftable"], f"""SELECT "set", 'rmse' AS metric, rmse AS value FROM ({_metrics_sql("ftable", LABEL)}) a
+        UNION ALL SELECT "set", 'r2', r2 FROM ({_metrics_sql("ftable", LABEL)}) b"""),
+    "P13",
+)
+def unpivot_metrics(spark, d):
+    wide = _baseline_metrics(_feature_table(spark, d))
+    return M.metrics_long(wide, ["set"], ["rmse", "r2"])
+
+
+@register(
+    "rank_predictions",
+    with_ctes(["ftable"], f"""SELECT pid, {r(LABEL)} AS {LABEL}, {r('mu')} AS baseline_prediction,
+            row_number() OVER (ORDER BY {LABEL}, pid) - 1 AS rank
+        FROM ftable, (SELECT avg({LABEL}) AS mu FROM ftable WHERE {U_SQL} < 0.8) m
+        WHERE {U_SQL} >= 0.8"""),
+    "W2 S6",
+)
+def rank_predictions(spark, d):
+    train, test = M.hash_split(_feature_table(spark, d))
+    _, test = M.with_baseline(train, test, LABEL)
+    scored = test.select("pid", LABEL, "baseline_prediction")
+    return with_row_index(scored, [F.col(LABEL), F.col("pid")], "rank")
+
+
+# ---------------------------------------------------------------- forest (rows-only checks)
+
+SMALL_GRID = dict(num_trees=(8, 16), subsampling=(0.5,), min_instances=(1,), strategies=("sqrt",), folds=2)
+
+
+@register("forest_cv_metrics", None, "M7 M8 M9 M10 M11 M12")
+def forest_cv_metrics(spark, d):
+    train, _ = M.hash_split(_all_techniques(spark, d).where(F.col(LABEL).isNotNull()))
+    cv_model, forest, grid = M.grid_search(train, FEATURES, LABEL, **SMALL_GRID)
+    return M.cv_report(spark, cv_model, forest, grid)
+
+
+@register("forest_importances", None, "M12 M9")
+def forest_importances(spark, d):
+    train, _ = M.hash_split(_all_techniques(spark, d).where(F.col(LABEL).isNotNull()))
+    pipeline, _ = M.forest_pipeline(FEATURES, LABEL)
+    return M.importances(spark, pipeline.fit(train), FEATURES)
+
+
+@register("forest_predictions", None, "M13 K2")
+def forest_predictions(spark, d):
+    prepared = _all_techniques(spark, d).where(F.col(LABEL).isNotNull())
+    train, test = M.hash_split(prepared)
+    train, test = M.with_baseline(train, test, LABEL)
+    pipeline, _ = M.forest_pipeline(FEATURES, LABEL)
+    return M.score(pipeline.fit(train), test, "pid", LABEL)
+
+
+@register("ablation", None, "M14")
+def ablation(spark, d):
+    ft = _feature_table(spark, d)
+    majority, minority = _classes(M.remove_outliers(ft, LABEL))
+    return M.ablation(spark, ft, FEATURES, LABEL, spec=M.ForestSpec(num_trees=10), majority=majority, minority=minority)

@@ -163,6 +163,7 @@ def percentiles_adaptive(
     probs: Sequence[float],
     max_distinct: int = 1_000_000,
     buckets: int = 128,
+    check_first: bool = True,
 ) -> DataFrame:
     """Exact percentiles, long form; hot groups split only when they exist.
 
@@ -170,8 +171,10 @@ def percentiles_adaptive(
     spreads a hot group over the shuffle by value. A group-feature with at most
     ``max_distinct`` distinct values is finished by ``percentile`` with the
     count as frequency (its memory is bounded by ``max_distinct``); groups above
-    the bound go through the bucketed path. Whether any group is above the
-    bound is checked first with one small aggregate (a scalar to the driver).
+    the bound go through the bucketed path, in the same plan (the bucketed
+    stages run over no rows when no group is that wide). ``check_first``
+    instead runs one aggregate first and plans the bucketed path only if some
+    group needs it: cheaper for small inputs, an extra pass for large ones.
     """
     group_cols = list(group_cols)
     if not group_cols:
@@ -181,15 +184,20 @@ def percentiles_adaptive(
         keys = group_cols
     gf = keys + ["feature"]
     counts = _long_values(df, keys, value_cols).groupBy(*gf, "v").agg(F.count(F.lit(1)).alias("c"))
+    if check_first:
+        widest = counts.groupBy(*gf).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
+        if widest <= max_distinct:
+            out = _frequency_percentiles(counts, gf, probs)
+            if not group_cols:
+                out = out.drop(_ONE)
+            return out
+    # One row per (group, feature): joined back to flag the groups above the
+    # bound (AQE broadcasts it when small and splits skewed partitions if not).
     distinct = counts.groupBy(*gf).agg(F.count(F.lit(1)).alias("_d"))
-    widest = distinct.agg(F.max("_d")).first()[0] or 0
-    if widest <= max_distinct:
-        out = _frequency_percentiles(counts, gf, probs)
-    else:
-        flagged = counts.join(distinct, gf)
-        small = flagged.where(F.col("_d") <= max_distinct).drop("_d")
-        hot = flagged.where(F.col("_d") > max_distinct).drop("_d")
-        out = _frequency_percentiles(small, gf, probs).unionByName(_bucketed_percentiles(hot, gf, probs, buckets))
+    flagged = counts.join(distinct, gf)
+    small = flagged.where(F.col("_d") <= max_distinct).drop("_d")
+    hot = flagged.where(F.col("_d") > max_distinct).drop("_d")
+    out = _frequency_percentiles(small, gf, probs).unionByName(_bucketed_percentiles(hot, gf, probs, buckets))
     if not group_cols:
         out = out.drop(_ONE)
     return out

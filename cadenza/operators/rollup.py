@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.operators.quantiles import percentiles_wide
+from cadenza.session import materialize
 
 
 def join_item_features(
@@ -87,6 +88,10 @@ def item_feature_rollup(
     per_collection = rollup_to_collection(joined, feature_cols, stat, collection, label, median_method)
     if level == "collection":
         return per_collection
+    if stat == "median":
+        # The second level reads the first twice (size check, then the
+        # percentiles): write it once as a table instead of re-running it.
+        per_collection = materialize(per_collection)
     return rollup_to_popularity(per_collection, feature_cols, stat, label, median_method)
 
 

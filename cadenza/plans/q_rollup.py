@@ -63,7 +63,9 @@ def rollup_median_collection(spark, d):
     "C1 J1 A8",
 )
 def rollup_median_popularity(spark, d):
-    return R.rollup_to_popularity(_median_collection(spark, d), FEATURES, "median")
+    return R.item_feature_rollup(
+        S.item_occurrences(spark, d), S.item_features(spark, d), FEATURES, "median", "popularity"
+    )
 
 
 @register(

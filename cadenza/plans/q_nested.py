@@ -41,9 +41,9 @@ def nested_field_array_size(spark, d):
     nested = S.nested_collections(spark, d)
     return nested.select(
         "pid",
-        F.size("tracks").alias("n_items"),
-        F.size(F.array_distinct(N.field_array("tracks", "track_uri"))).alias("n_distinct_items"),
-        F.size(F.array_distinct(N.field_array("tracks", "artist_uri"))).alias("n_distinct_creators"),
+        F.size("tracks").cast("long").alias("n_items"),
+        F.size(F.array_distinct(N.field_array("tracks", "track_uri"))).cast("long").alias("n_distinct_items"),
+        F.size(F.array_distinct(N.field_array("tracks", "artist_uri"))).cast("long").alias("n_distinct_creators"),
     )
 
 
@@ -92,7 +92,7 @@ def clean_collections(spark, d):
 
 @register(
     "collection_total_duration",
-    with_ctes(["heads", "occ"], f"""SELECT h.pid, coalesce(x.total, 0) AS total_duration,
+    with_ctes(["heads", "occ"], f"""SELECT h.pid, CAST(coalesce(x.total, 0) AS BIGINT) AS total_duration,
         {r('coalesce(x.total, 0) / 60000.0')} AS total_minutes
         FROM heads h LEFT JOIN (SELECT pid, sum(CAST(duration_ms AS BIGINT)) AS total FROM occ GROUP BY pid) x
         USING (pid)"""),
@@ -135,7 +135,7 @@ def named_value_flag(spark, d):
 def named_value_count_nested(spark, d):
     nested = S.nested_collections(spark, d)
     per = nested.select("pid", N.count_matching("tracks.artist_name", NAMED_CREATOR).alias("n"))
-    return per.groupBy("pid").agg(F.sum("n").cast("int").alias("value_count"))
+    return per.groupBy("pid").agg(F.sum("n").cast("long").alias("value_count"))
 
 
 @register(

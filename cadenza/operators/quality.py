@@ -44,19 +44,24 @@ def duplicate_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Q5/Q6: (column, duplicated_values, has_duplicates).
 
     ``duplicated_values`` is the number of distinct values (NULL included)
-    that occur more than once. Each column needs its own grouping; the
-    groupings are unioned, so the job still scans ``df`` once per column but
-    runs as one plan.
+    that occur more than once. One scan: every row emits (column, value)
+    pairs, counted per pair with map-side combine (a hot value is combined
+    before the shuffle), then the pairs seen more than once are counted per
+    column.
     """
-    parts = []
-    for c in columns:
-        dup = (
-            df.groupBy(F.col(c).alias("value"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.count_if(F.col("n") > 1).alias("duplicated_values"))
-        )
-        parts.append(dup.select(F.lit(c).alias("column"), "duplicated_values"))
-    out = reduce(DataFrame.unionByName, parts)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    counted = (
+        df.select(F.explode(pairs).alias("_p"))
+        .groupBy("_p.column", "_p.value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("column")
+        .agg(F.count_if(F.col("n") > 1).alias("duplicated_values"))
+    )
+    # Every requested column gets a row, even one with no value at all.
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    out = names.join(counted, "column", "left").select(
+        "column", F.coalesce("duplicated_values", F.lit(0)).alias("duplicated_values")
+    )
     return out.withColumn("has_duplicates", F.col("duplicated_values") > 0)
 
 
@@ -65,10 +70,12 @@ def value_intervals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs = []
     for c in columns:
         aggs += [F.min(c).cast("double").alias(f"lo_{c}"), F.max(c).cast("double").alias(f"hi_{c}")]
-    agg = df.agg(F.count(F.lit(1)).alias("rows"), *aggs)
-    lo = _long(agg, columns, "lo_", "min_value").drop("rows")
-    hi = _long(agg, columns, "hi_", "max_value").drop("rows")
-    return lo.join(hi, "column")
+    agg = df.agg(*aggs)
+    per_col = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(f"lo_{c}").alias("min_value"), F.col(f"hi_{c}").alias("max_value"))
+          for c in columns]
+    )
+    return agg.select(F.explode(per_col).alias("_v")).select("_v.*")
 
 
 def quality_report(
@@ -96,9 +103,11 @@ def quality_report(
                               F.lit(None).cast("double").alias("ratio")))
     if range_cols:
         v = value_intervals(df, range_cols)
-        parts.append(v.select("column", F.lit("min").alias("check"), F.col("min_value").alias("value"),
-                              F.lit(None).cast("double").alias("ratio")))
-        parts.append(v.select("column", F.lit("max").alias("check"), F.col("max_value").alias("value"),
-                              F.lit(None).cast("double").alias("ratio")))
+        both = F.array(
+            F.struct(F.lit("min").alias("check"), F.col("min_value").alias("value")),
+            F.struct(F.lit("max").alias("check"), F.col("max_value").alias("value")),
+        )
+        parts.append(v.select("column", F.explode(both).alias("_mm")).select(
+            "column", "_mm.check", "_mm.value", F.lit(None).cast("double").alias("ratio")))
     out = reduce(DataFrame.unionByName, parts)
     return out.select(F.lit(table).alias("table"), "column", "check", "value", "ratio")

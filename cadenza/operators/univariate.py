@@ -77,18 +77,22 @@ def describe_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.max(x).alias(f"max__{c}"),
         ]
     row = df.agg(*aggs)
-    per_col = [
-        row.select(
-            F.lit(c).alias("column"),
-            F.col(f"count__{c}").alias("count"),
-            F.col(f"mean__{c}").alias("mean"),
-            F.col(f"stddev__{c}").alias("stddev"),
-            F.col(f"min__{c}").alias("min"),
-            F.col(f"max__{c}").alias("max"),
-        )
-        for c in columns
-    ]
-    return reduce(DataFrame.unionByName, per_col)
+    # One aggregate, then one row per column by exploding an array of structs
+    # (a single pass over df; a union of selects could re-run the aggregate).
+    per_col = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.col(f"count__{c}").alias("count"),
+                F.col(f"mean__{c}").alias("mean"),
+                F.col(f"stddev__{c}").alias("stddev"),
+                F.col(f"min__{c}").alias("min"),
+                F.col(f"max__{c}").alias("max"),
+            )
+            for c in columns
+        ]
+    )
+    return row.select(F.explode(per_col).alias("_d")).select("_d.*")
 
 
 def describe_strings(df: DataFrame, *columns: str) -> DataFrame:
@@ -120,7 +124,8 @@ def date_trend(df: DataFrame, epoch_col: str, unit: str = "day") -> DataFrame:
         period = F.trunc(day, unit)
     else:
         raise ValueError(f"unknown unit {unit!r}")
-    return df.groupBy(period.alias("period")).agg(F.count(F.lit(1)).alias("count"))
+    # O2: ordered by period (a range-partitioned sort of the small result).
+    return df.groupBy(period.alias("period")).agg(F.count(F.lit(1)).alias("count")).orderBy("period")
 
 
 def composition_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -161,13 +161,20 @@ def forest_importances(spark, d):
     return M.importances(spark, pipeline.fit(train), FEATURES)
 
 
-@register("forest_predictions", None, "M13 K2")
+@register("forest_predictions", None, "M13 K2 K7")
 def forest_predictions(spark, d):
+    import uuid
+
+    from cadenza.session import ensure_checkpoint_dir
+    from cadenza.sources.sinks import save_model
+
     prepared = _all_techniques(spark, d).where(F.col(LABEL).isNotNull())
     train, test = M.hash_split(prepared)
     train, test = M.with_baseline(train, test, LABEL)
     pipeline, _ = M.forest_pipeline(FEATURES, LABEL)
-    return M.score(pipeline.fit(train), test, "pid", LABEL)
+    model = pipeline.fit(train)
+    save_model(model, f"{ensure_checkpoint_dir(spark).rstrip('/')}/cadenza-model-{uuid.uuid4().hex}")
+    return M.score(model, test, "pid", LABEL)
 
 
 @register("ablation", None, "M14")

@@ -150,3 +150,19 @@ def build_feature_table(spark, d):
     main = S.collections(spark, d).select("pid", "num_tracks", "num_artists", "num_albums")
     genres = R.genre_count_per_collection(S.item_occurrences(spark, d), S.creators(spark, d)).drop("num_followers")
     return R.feature_table(audio, main, genres)
+
+
+@register(
+    "popularity_means_renamed",
+    with_ctes(["mean_coll"], f"SELECT num_followers, {r('avg(p_size)')} AS p_size, "
+              f"{r('avg(p_retailprice)')} AS p_retailprice FROM mean_coll GROUP BY num_followers"),
+    "P12 A7",
+)
+def popularity_means_renamed(spark, d):
+    """The reference's notebooks read aggregates whose columns are named
+    ``avg(x)``; the names are cleaned after each aggregation (P12)."""
+    from cadenza.operators.association import rename_nested_aggregates
+
+    joined = R.join_item_features(S.item_occurrences(spark, d), S.item_features(spark, d), FEATURES)
+    per = rename_nested_aggregates(joined.groupBy("pid").agg(*[F.avg(c) for c in ["num_followers", *FEATURES]]))
+    return rename_nested_aggregates(per.groupBy("num_followers").agg(*[F.avg(c) for c in FEATURES]))

@@ -294,3 +294,18 @@ def boxplot_summary(spark, d):
 )
 def kernel_density(spark, d):
     return D.kernel_density(S.collections(spark, d), "num_tracks", 50)
+
+
+@register(
+    "describe_strings_pick",
+    with_ctes(["feats"], " UNION ALL ".join(
+        f"SELECT '{stat}' AS summary, {r(f'{fn}(p_size)')} AS p_size, {r(f'{fn}(p_retailprice)')} AS p_retailprice "
+        "FROM feats" for stat, fn in [("mean", "avg"), ("stddev", "stddev_samp")])),
+    "A3 F9 T8",
+)
+def describe_strings_pick(spark, d):
+    """Spark's ``describe`` (string values, as the reference stores it), then
+    the rows a chart needs picked by label (F9) and read back as numbers."""
+    desc = U.describe_strings(S.item_features(spark, d), *ITEM_FEATURES)
+    picked = desc.where(F.col("summary").isin("mean", "stddev"))
+    return picked.select("summary", *[F.col(c).cast("double").alias(c) for c in ITEM_FEATURES])

@@ -215,3 +215,24 @@ def test_boxplot_whiskers(spark):  # D3
 def test_rename_nested_aggregates(spark):  # P12
     df = spark.createDataFrame([(1.0, 2.0)], "`avg(avg(x))` double, y double")
     assert A.rename_nested_aggregates(df).columns == ["x", "y"]
+
+
+def test_multiline_document_source(spark, tmp_path):  # S1, P1
+    import json
+
+    from cadenza import schemas
+    from cadenza.sources.readers import read_nested_json
+
+    doc = {
+        "info": {"slice": "0"},
+        "playlists": [
+            {"pid": 7, "name": " road  trip ", "num_followers": 2, "tracks": [{"pos": 0, "track_uri": "t:1"}]},
+            {"pid": 8, "name": None, "num_followers": 1, "tracks": []},
+        ],
+    }
+    (tmp_path / "part-0.json").write_text(json.dumps(doc, indent=2))
+    dump = read_nested_json(spark, str(tmp_path), schemas.DUMP, multi_line=True)
+    recs = N.explode_records(dump)
+    assert sorted(r.pid for r in recs.collect()) == [7, 8]
+    flat = N.explode_beside(recs, "tracks", ["pid"], ["track_uri"]).collect()
+    assert [(r.pid, r.track_uri) for r in flat] == [(7, "t:1")]

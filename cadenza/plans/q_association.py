@@ -69,7 +69,7 @@ _EDGES = f"""(SELECT quantile_cont({LABEL}, 0.25) AS e1, quantile_cont({LABEL},
     with_ctes(["ftable"], f"""SELECT quartile, count(*) AS n, {r(f'min({LABEL})')} AS min_{LABEL},
         {r(f'max({LABEL})')} AS max_{LABEL}, {r('avg(p_size)')} AS mean_p_size, {r('avg(num_tracks)')} AS mean_num_tracks
         FROM (SELECT f.*, {_QUARTILE_CASE} AS quartile FROM ftable f, {_EDGES}) t GROUP BY quartile"""),
-    "D5",
+    "D5 T16",
 )
 def quartile_groups(spark, d):
     return A.quartile_groups(build_feature_table(spark, d), LABEL, ["p_size", "num_tracks"])

@@ -79,7 +79,7 @@ def log_target(spark, d):
 @register(
     "hash_split",
     with_ctes(["ftable"], f"SELECT pid, CASE WHEN {U_SQL} < 0.8 THEN 'train' ELSE 'test' END AS split FROM ftable"),
-    "M4",
+    "M4 T11",
 )
 def hash_split(spark, d):
     train, test = M.hash_split(_feature_table(spark, d))
@@ -161,7 +161,7 @@ def forest_importances(spark, d):
     return M.importances(spark, pipeline.fit(train), FEATURES)
 
 
-@register("forest_predictions", None, "M13 K2 K7")
+@register("forest_predictions", None, "M13 K2 K7 T12")
 def forest_predictions(spark, d):
     import uuid
 

@@ -38,7 +38,7 @@ def _ranges_sql(table: str, cols: list[str]) -> str:
     )
 
 
-@register("quality_nulls", with_ctes(["colls"], _nulls_sql("colls", NULL_COLS)), "Q1 Q2 Q3 F1 A11")
+@register("quality_nulls", with_ctes(["colls"], _nulls_sql("colls", NULL_COLS)), "Q1 Q2 Q3 F1 A11 T5 T15")
 def quality_nulls(spark, d):
     return Q.null_counts(S.collections(spark, d), NULL_COLS)
 

@@ -40,7 +40,7 @@ def rollup_mean_collection(spark, d):
     "rollup_mean_popularity",
     with_ctes(["mean_coll"], f"SELECT num_followers, {r('avg(p_size)')} AS p_size, "
               f"{r('avg(p_retailprice)')} AS p_retailprice FROM mean_coll GROUP BY num_followers"),
-    "C1 J1 A7",
+    "C1 J1 A7 T6 T2",
 )
 def rollup_mean_popularity(spark, d):
     return R.rollup_to_popularity(_mean_collection(spark, d), FEATURES, "mean")

@@ -109,7 +109,7 @@ def name_length_stats(spark, d):
     "modification_trend_day",
     with_ctes(["colls"], """SELECT CAST(CAST(epoch_ms(modified_at * 1000) AS DATE) AS VARCHAR) AS period,
         count(*) AS count FROM colls GROUP BY 1"""),
-    "X8 X13 A1 O2",
+    "X8 X13 A1 O2 T17",
 )
 def modification_trend_day(spark, d):
     return _iso(U.date_trend(S.collections(spark, d), "modified_at", "day"))

@@ -86,28 +86,41 @@ def quality_report(
     dup_cols: Sequence[str] = (),
     range_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """Q8: (table, column, check, value, ratio) for every requested check."""
+    """Q8: (table, column, check, value, ratio) for every requested check.
+
+    Null counts, empty arrays and min/max are plain aggregates: they share one
+    pass over ``df``. Duplicates need a grouping per value: a second pass.
+    """
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    checks = []  # (column, check, value column, has ratio)
+    for c in null_cols:
+        aggs.append(F.count_if(F.col(c).isNull()).cast("double").alias(f"_n_{c}"))
+        checks.append((c, "nulls", f"_n_{c}", True))
+    for c in array_cols:
+        aggs.append(F.count_if(F.size(c) == 0).cast("double").alias(f"_e_{c}"))
+        checks.append((c, "empty_arrays", f"_e_{c}", True))
+    for c in range_cols:
+        aggs += [F.min(c).cast("double").alias(f"_lo_{c}"), F.max(c).cast("double").alias(f"_hi_{c}")]
+        checks += [(c, "min", f"_lo_{c}", False), (c, "max", f"_hi_{c}", False)]
     parts = []
-    if null_cols:
-        n = null_counts(df, null_cols)
-        parts.append(n.select("column", F.lit("nulls").alias("check"), F.col("null_count").cast("double").alias("value"),
-                              F.col("null_ratio").alias("ratio")))
-    if array_cols:
-        e = empty_array_counts(df, array_cols)
-        parts.append(e.select("column", F.lit("empty_arrays").alias("check"),
-                              F.col("empty_count").cast("double").alias("value"), F.col("empty_ratio").alias("ratio")))
+    if checks:
+        row = df.agg(*aggs)
+        cells = F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column"),
+                    F.lit(check).alias("check"),
+                    F.col(v).alias("value"),
+                    (F.try_divide(F.col(v), F.col("_rows")) if ratio else F.lit(None).cast("double")).alias("ratio"),
+                )
+                for c, check, v, ratio in checks
+            ]
+        )
+        parts.append(row.select(F.explode(cells).alias("_c")).select("_c.*"))
     if dup_cols:
         u = duplicate_value_counts(df, dup_cols)
         parts.append(u.select("column", F.lit("duplicated_values").alias("check"),
                               F.col("duplicated_values").cast("double").alias("value"),
                               F.lit(None).cast("double").alias("ratio")))
-    if range_cols:
-        v = value_intervals(df, range_cols)
-        both = F.array(
-            F.struct(F.lit("min").alias("check"), F.col("min_value").alias("value")),
-            F.struct(F.lit("max").alias("check"), F.col("max_value").alias("value")),
-        )
-        parts.append(v.select("column", F.explode(both).alias("_mm")).select(
-            "column", "_mm.check", "_mm.value", F.lit(None).cast("double").alias("ratio")))
     out = reduce(DataFrame.unionByName, parts)
     return out.select(F.lit(table).alias("table"), "column", "check", "value", "ratio")

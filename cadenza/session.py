@@ -48,7 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     is. Only when it is unset (local tests) do we pick a scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Connect session has no SparkContext: use the setting as is
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cadenza-ckpt-")
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():

@@ -164,6 +164,7 @@ def percentiles_adaptive(
     max_distinct: int = 1_000_000,
     buckets: int = 128,
     check_first: bool = True,
+    materialize: bool = True,
 ) -> DataFrame:
     """Exact percentiles, long form; hot groups split only when they exist.
 
@@ -185,6 +186,10 @@ def percentiles_adaptive(
     gf = keys + ["feature"]
     counts = _long_values(df, keys, value_cols).groupBy(*gf, "v").agg(F.count(F.lit(1)).alias("c"))
     if check_first:
+        if materialize:
+            # The size check and the percentiles both read ``counts``: write the
+            # pre-aggregated table once instead of running the input plan twice.
+            counts = materialize_table(counts)
         widest = counts.groupBy(*gf).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
         if widest <= max_distinct:
             out = _frequency_percentiles(counts, gf, probs)

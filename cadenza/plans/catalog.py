@@ -33,7 +33,8 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            # + 0.0 turns -0.0 into 0.0, so both engines print the same value.
+            cols.append((F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

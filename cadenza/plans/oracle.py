@@ -125,5 +125,5 @@ def with_ctes(uses: list[str], body: str, extra: dict[str, str] | None = None) -
 
 
 def r(expr: str, digits: int = 6) -> str:
-    """Round a float expression the way the Spark side does."""
-    return f"round({expr}, {digits})"
+    """Round a float expression the way the Spark side does (``+ 0.0`` turns -0.0 into 0.0)."""
+    return f"(round({expr}, {digits}) + 0.0)"

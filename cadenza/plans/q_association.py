@@ -101,7 +101,7 @@ def mutual_information_binned(spark, d):
 
 @register(
     "scatter_points",
-    with_ctes(["ftable"], f"""SELECT pid, CAST(p_size AS DOUBLE) AS p_size, {r(LN_LABEL)} AS log_label,
+    with_ctes(["ftable"], f"""SELECT pid, {r("CAST(p_size AS DOUBLE)")} AS p_size, {r(LN_LABEL)} AS log_label,
         {_QUARTILE_CASE} AS quartile, {r('(SELECT avg(p_size) FROM ftable)')} AS mean_p_size
         FROM ftable, {_EDGES}"""),
     "D9 X9 D5",

@@ -75,3 +75,31 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{base.rstrip('/')}/cadenza-table-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20, cores: int | None = None) -> dict[str, str]:
+    """Settings to size shuffles for an input of ``input_bytes`` (e.g. 100 TB).
+
+    Shuffle partitions start at about input / target (AQE coalesces small ones
+    and splits skewed ones at run time), but never below twice the cores, so
+    every core has work. Scan splits and AQE's advisory size use the same
+    target, which keeps each task's state well inside executor memory.
+    """
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    if cores:
+        partitions = max(partitions, 2 * cores)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Apply runtime SQL settings (e.g. from ``scale_settings``) to a session."""
+    for k, v in settings.items():
+        spark.conf.set(k, v)

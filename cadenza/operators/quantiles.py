@@ -32,13 +32,17 @@ from cadenza.session import materialize as materialize_table
 _ONE = "__all__"
 
 
-def _long_values(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
+_MAX_DISTINCT = 1_000_000
+
+
+def _long_values(
+    df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str], keep_nulls: bool = False
+) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in value_cols])
-    return (
-        df.select(*group_cols, F.explode(pairs).alias("_kv"))
-        .select(*group_cols, "_kv.feature", "_kv.v")
-        .where(F.col("v").isNotNull() & ~F.isnan("v"))
-    )
+    long = df.select(*group_cols, F.explode(pairs).alias("_kv")).select(*group_cols, "_kv.feature", "_kv.v")
+    if keep_nulls:
+        return long.where(F.col("v").isNull() | ~F.isnan("v"))
+    return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
 def _bucket_of(v, splits, buckets: int):
@@ -161,7 +165,7 @@ def percentiles_adaptive(
     group_cols: Sequence[str],
     value_cols: Sequence[str],
     probs: Sequence[float],
-    max_distinct: int = 1_000_000,
+    max_distinct: int = _MAX_DISTINCT,
     buckets: int = 128,
     check_first: bool = True,
     materialize: bool = True,
@@ -196,16 +200,22 @@ def percentiles_adaptive(
             if not group_cols:
                 out = out.drop(_ONE)
             return out
+    out = _split_by_width(counts, gf, probs, max_distinct, buckets)
+    if not group_cols:
+        out = out.drop(_ONE)
+    return out
+
+
+def _split_by_width(counts: DataFrame, gf: list[str], probs: Sequence[float], max_distinct: int, buckets: int) -> DataFrame:
+    """Group-features up to ``max_distinct`` distinct values by frequency
+    percentile, wider ones by the bucketed path; one plan."""
     # One row per (group, feature): joined back to flag the groups above the
     # bound (AQE broadcasts it when small and splits skewed partitions if not).
     distinct = counts.groupBy(*gf).agg(F.count(F.lit(1)).alias("_d"))
     flagged = counts.join(distinct, gf)
     small = flagged.where(F.col("_d") <= max_distinct).drop("_d")
     hot = flagged.where(F.col("_d") > max_distinct).drop("_d")
-    out = _frequency_percentiles(small, gf, probs).unionByName(_bucketed_percentiles(hot, gf, probs, buckets))
-    if not group_cols:
-        out = out.drop(_ONE)
-    return out
+    return _frequency_percentiles(small, gf, probs).unionByName(_bucketed_percentiles(hot, gf, probs, buckets))
 
 
 def percentiles_wide(
@@ -215,6 +225,7 @@ def percentiles_wide(
     prob: float = 0.5,
     buckets: int = 128,
     method: str = "adaptive",
+    max_distinct: int = _MAX_DISTINCT,
 ) -> DataFrame:
     """One row per group, one column per value column: the ``prob`` percentile.
 
@@ -226,7 +237,24 @@ def percentiles_wide(
     if method == "builtin":
         aggs = [F.percentile(F.col(c), F.lit(prob)).alias(c) for c in value_cols]
         return df.groupBy(*group_cols).agg(*aggs)
-    if method == "distributed":
+    if method == "adaptive" and group_cols:
+        # Pre-aggregated counts keep a row for NULL values too, so every group
+        # is present in them. When no group is wider than the bound, one
+        # aggregate per group gives all columns at once (no pivot, no join).
+        gf = group_cols + ["feature"]
+        counts = _long_values(df, group_cols, value_cols, keep_nulls=True).groupBy(*gf, "v").agg(
+            F.count(F.lit(1)).alias("c")
+        )
+        counts = materialize_table(counts)
+        widest = counts.groupBy(*gf).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
+        if widest <= max_distinct:
+            aggs = [
+                F.percentile(F.when(F.col("feature") == c, F.col("v")), F.lit(prob), F.col("c")).cast("double").alias(c)
+                for c in value_cols
+            ]
+            return counts.groupBy(*group_cols).agg(*aggs)
+        long = _split_by_width(counts.where(F.col("v").isNotNull()), gf, [prob], max_distinct, buckets)
+    elif method == "distributed":
         long = percentiles_long(df, group_cols, value_cols, [prob], buckets)
     else:
         long = percentiles_adaptive(df, group_cols, value_cols, [prob], buckets=buckets)

@@ -236,3 +236,17 @@ def test_multiline_document_source(spark, tmp_path):  # S1, P1
     assert sorted(r.pid for r in recs.collect()) == [7, 8]
     flat = N.explode_beside(recs, "tracks", ["pid"], ["track_uri"]).collect()
     assert [(r.pid, r.track_uri) for r in flat] == [(7, "t:1")]
+
+
+@pytest.mark.parametrize("max_distinct", [0, 5, 1_000_000])
+def test_percentiles_wide_paths_agree_with_builtin(spark, max_distinct):
+    rnd = random.Random(11)
+    rows = [(1, rnd.random(), float(rnd.randint(0, 3))) for _ in range(400)]
+    rows += [(2, None, 1.0), (3, None, None), (4, 2.5, None)]
+    df = spark.createDataFrame(rows, "g int, a double, b double")
+    want = {r.g: (r.a, r.b) for r in percentiles_wide(df, ["g"], ["a", "b"], 0.5, method="builtin").collect()}
+    got = {r.g: (r.a, r.b) for r in percentiles_wide(df, ["g"], ["a", "b"], 0.5, buckets=8, max_distinct=max_distinct).collect()}
+    assert set(got) == set(want) == {1, 2, 3, 4}
+    for g in want:
+        for x, y in zip(got[g], want[g]):
+            assert (x is None and y is None) or x == pytest.approx(y, rel=1e-12)

@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.scalar import safe_ln
 
-# Fixed values of the key-arithmetic uniform draw (a prime modulus and a
-# multiplier coprime to it); the SQL oracle uses the same numbers.
+# Fixed values of the key-arithmetic uniform draw: a prime modulus and a
+# multiplier near modulus x golden ratio, so consecutive keys land about 0.618
+# apart (a Weyl sequence) instead of in runs; (k mod P) x A stays far below
+# 2^63. The SQL oracle uses the same numbers.
 HASH_MODULUS = 1000003
-HASH_MULTIPLIER = 7919
+HASH_MULTIPLIER = 618034
 HASH_OFFSET = 13
 
 

@@ -250,3 +250,13 @@ def test_percentiles_wide_paths_agree_with_builtin(spark, max_distinct):
     for g in want:
         for x, y in zip(got[g], want[g]):
             assert (x is None and y is None) or x == pytest.approx(y, rel=1e-12)
+
+
+def test_key_split_mixes_consecutive_keys(spark):  # M4, T11
+    df = spark.range(1000).withColumnRenamed("id", "pid")
+    train, test = M.hash_split(df)
+    test_keys = sorted(r.pid for r in test.collect())
+    assert 170 <= len(test_keys) <= 230
+    # every block of 20 consecutive keys has both train and test rows
+    assert all(any(k // 20 == b for k in test_keys) for b in range(50))
+    assert train.count() + len(test_keys) == 1000

@@ -260,3 +260,12 @@ def test_key_split_mixes_consecutive_keys(spark):  # M4, T11
     # every block of 20 consecutive keys has both train and test rows
     assert all(any(k // 20 == b for k in test_keys) for b in range(50))
     assert train.count() + len(test_keys) == 1000
+
+
+def test_describe_strings_on_a_string_column(spark):  # T8
+    df = spark.createDataFrame([("b", 1.0), ("a", 3.0), ("c", None)], "id string, x double")
+    rows = {r.summary: (r.id, r.x) for r in U.describe_strings(df, "id", "x").collect()}
+    assert rows["count"] == ("3", "2")
+    assert rows["mean"][0] is None and rows["min"][0] == "a" and rows["max"][0] == "c"
+    long = {r.column: r for r in U.describe_long(df, ["x"]).collect()}
+    assert long["x"].mean == 2.0 and long["x"]["count"] == 2

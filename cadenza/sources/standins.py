@@ -217,17 +217,21 @@ def nested_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def playlist_dump(spark: SparkSession, sf_dir: str, collections_per_doc: int = 1000) -> DataFrame:
     """The reference's input document shape: ``info`` + ``playlists`` array.
 
-    One document per block of ``collections_per_doc`` consecutive pids, so the
-    document size is bounded by the parameter, not by the data.
+    One document per block of ``collections_per_doc`` consecutive pids and
+    position block, so a document holds at most ``collections_per_doc``
+    records of at most NESTED_CHUNK items, whatever the data.
     """
     nested = nested_collections(spark, sf_dir)
     rec = F.struct(*[c for c in nested.columns])
+    # The record's position block, from its smallest position (arrays are sorted).
+    block = F.coalesce(F.floor((F.get(F.col("tracks"), 0)["pos"] - 1) / NESTED_CHUNK), F.lit(0))
     return (
         nested.withColumn("slice", F.floor(F.col("pid") / collections_per_doc))
-        .groupBy("slice")
+        .groupBy("slice", block.alias("block"))
         .agg(F.array_sort(F.collect_list(rec)).alias("playlists"))
         .select(
-            F.struct(F.col("slice").alias("slice"), F.lit("stand-in").alias("generated_by")).alias("info"),
+            F.create_map(F.lit("slice"), F.concat_ws("-", F.col("slice").cast("string"), F.col("block").cast("string")))
+            .alias("info"),
             "playlists",
         )
     )

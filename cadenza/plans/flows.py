@@ -121,8 +121,14 @@ def collect_features(
 ) -> DataFrame:
     """C1-C5 + D6: popularity-level aggregates as CSV, the feature table and
     its label correlations as Parquet. Returns the feature table (read back)."""
+    # The dump is JSON text: parse it once into Parquet (collections without
+    # their items, and the exploded items), then every aggregate below reads
+    # only the columns it needs from those files.
     colls = load_collections(spark, dump_path)
-    occ = occurrences(colls)
+    SK.write_parquet(colls.drop("tracks"), f"{out_dir}/_work/collections")
+    SK.write_parquet(occurrences(colls), f"{out_dir}/_work/occurrences")
+    colls = spark.read.parquet(f"{out_dir}/_work/collections")
+    occ = spark.read.parquet(f"{out_dir}/_work/occurrences")
     items = load_items(spark, items_path)
     creators = load_creators(spark, creators_path)
     for stat in ("mean", "median"):

@@ -211,8 +211,10 @@ def grid_search(
 
 
 def cv_report(spark, cv_model, forest, grid) -> DataFrame:
-    """One row per grid point with its mean CV metric (public getters only)."""
+    """One row per grid point with its mean CV metric and whether it is
+    the chosen point (public getters only; the report is bounded by the grid)."""
     rows = []
+    best = max(cv_model.avgMetrics)
     for params, score in zip(grid, cv_model.avgMetrics):
         rows.append(
             (
@@ -221,13 +223,27 @@ def cv_report(spark, cv_model, forest, grid) -> DataFrame:
                 int(params[forest.minInstancesPerNode]),
                 str(params[forest.featureSubsetStrategy]),
                 float(score),
+                bool(score == best),
             )
         )
     return spark.createDataFrame(
-        rows, "num_trees int, subsampling_rate double, min_instances int, subset_strategy string, cv_metric double"
+        rows,
+        "num_trees int, subsampling_rate double, min_instances int, subset_strategy string, cv_metric double, "
+        "is_best boolean",
     )
 
 
+def best_params(cv_model) -> dict:
+    """Hyper-parameters of the refitted best forest, by public getters."""
+    forest = cv_model.bestModel.stages[-1]
+    return {
+        "num_trees": forest.getNumTrees,
+        "subsampling_rate": forest.getSubsamplingRate(),
+        "min_instances": forest.getMinInstancesPerNode(),
+        "subset_strategy": forest.getFeatureSubsetStrategy(),
+    }
+
+
 def importances(spark, model, features: Sequence[str]) -> DataFrame:
     """(feature, importance) of the fitted forest, by input name."""
     forest = model.stages[-1] if hasattr(model, "stages") else model
@@ -270,16 +286,34 @@ def ablation(
     spec: ForestSpec = ForestSpec(),
     majority=1.0,
     minority=2.0,
+    cv_folds: int = 3,
 ) -> DataFrame:
     """Every combination of the three preparation flags with the default
-    forest; (flags..., set, n, rmse, r2, baseline_rmse, baseline_r2)."""
+    forest; (flags..., set, n, rmse, r2, baseline_rmse, baseline_r2, cv_r2).
+
+    ``cv_r2`` is the mean r2 over ``cv_folds`` folds of the training set (the
+    reference's "CV r2" column); 0 folds skips it.
+    """
     results = None
     for outl, skew, under in itertools.product([False, True], repeat=3):
         prepared = prepare(df, label, outl, skew, under, majority, minority, key).where(F.col(label).isNotNull())
         train, test = hash_split(prepared, key)
         train, test = with_baseline(train, test, label)
-        pipeline, _ = forest_pipeline(features, label, spec)
-        model = pipeline.fit(train)
+        pipeline, forest = forest_pipeline(features, label, spec)
+        cv_r2 = None
+        if cv_folds:
+            cv = CrossValidator(
+                estimator=pipeline,
+                estimatorParamMaps=ParamGridBuilder().addGrid(forest.numTrees, [spec.num_trees]).build(),
+                evaluator=RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2"),
+                numFolds=cv_folds,
+                seed=spec.seed,
+            )
+            cv_model = cv.fit(train)
+            cv_r2 = float(cv_model.avgMetrics[0])
+            model = cv_model.bestModel
+        else:
+            model = pipeline.fit(train)
         scored = {"train": model.transform(train), "test": model.transform(test)}
         m = metrics_table(scored, label, "prediction")
         b = metrics_table(scored, label, "baseline_prediction").select(
@@ -287,7 +321,7 @@ def ablation(
         )
         row = m.join(b, "set").select(
             F.lit(outl).alias("remove_outliers"), F.lit(skew).alias("remove_skewness"),
-            F.lit(under).alias("undersampling"), "*"
+            F.lit(under).alias("undersampling"), "*", F.lit(cv_r2).cast("double").alias("cv_r2")
         )
         results = row if results is None else results.unionByName(row)
     return results

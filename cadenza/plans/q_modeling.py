@@ -181,4 +181,6 @@ def forest_predictions(spark, d):
 def ablation(spark, d):
     ft = _feature_table(spark, d)
     majority, minority = _classes(M.remove_outliers(ft, LABEL))
-    return M.ablation(spark, ft, FEATURES, LABEL, spec=M.ForestSpec(num_trees=10), majority=majority, minority=minority)
+    return M.ablation(
+        spark, ft, FEATURES, LABEL, spec=M.ForestSpec(num_trees=10), majority=majority, minority=minority, cv_folds=2
+    )

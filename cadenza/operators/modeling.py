@@ -26,6 +26,17 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.scalar import safe_ln
 
+# Fixed values of the reference's modeling set-up: outlier quantile, seed,
+# folds, metric, and the 3 x 3 x 5 x 2 = 90-point forest grid.
+OUTLIER_QUANTILE = 0.999
+SEED = 0
+NUM_FOLDS = 3
+METRIC = "r2"
+GRID_NUM_TREES = (64, 96, 128)
+GRID_SUBSAMPLING = (0.5, 0.7, 1.0)
+GRID_MIN_INSTANCES = (1, 5, 10, 15, 20)
+GRID_STRATEGIES = ("sqrt", "all")
+
 # Fixed values of the key-arithmetic uniform draw: a prime modulus and a
 # multiplier near modulus x golden ratio, so consecutive keys land about 0.618
 # apart (a Weyl sequence) instead of in runs; (k mod P) x A stays far below
@@ -41,7 +52,7 @@ def key_uniform(key: str, salt: int = 0) -> Column:
     return F.pmod(k * HASH_MULTIPLIER + HASH_OFFSET + salt, F.lit(HASH_MODULUS)) / F.lit(float(HASH_MODULUS))
 
 
-def remove_outliers(df: DataFrame, label: str, quantile: float = 0.999, accuracy: int = 10000) -> DataFrame:
+def remove_outliers(df: DataFrame, label: str, quantile: float = OUTLIER_QUANTILE, accuracy: int = 10000) -> DataFrame:
     """M1: keep rows with label strictly below its approximate ``quantile``."""
     threshold = df.select(F.percentile_approx(label, quantile, accuracy)).scalar()
     return df.where(F.col(label) < threshold)
@@ -182,13 +193,13 @@ def grid_search(
     train: DataFrame,
     features: Sequence[str],
     label: str,
-    num_trees: Sequence[int] = (64, 96, 128),
-    subsampling: Sequence[float] = (0.5, 0.7, 1.0),
-    min_instances: Sequence[int] = (1, 5, 10, 15, 20),
-    strategies: Sequence[str] = ("sqrt", "all"),
-    folds: int = 3,
-    metric: str = "r2",
-    seed: int = 0,
+    num_trees: Sequence[int] = GRID_NUM_TREES,
+    subsampling: Sequence[float] = GRID_SUBSAMPLING,
+    min_instances: Sequence[int] = GRID_MIN_INSTANCES,
+    strategies: Sequence[str] = GRID_STRATEGIES,
+    folds: int = NUM_FOLDS,
+    metric: str = METRIC,
+    seed: int = SEED,
     parallelism: int = 4,
     nulls: str = "skip",
 ):

@@ -95,14 +95,19 @@ def item_feature_rollup(
     return rollup_to_popularity(per_collection, feature_cols, stat, label, median_method)
 
 
+# The output column names of the main-feature means (C2), as the
+# reference's aggregate files name them.
+MAIN_FEATURE_OUTPUTS = (
+    ("num_tracks", "mean_track_length"),
+    ("num_artists", "mean_num_artists"),
+    ("num_albums", "mean_num_albums"),
+)
+
+
 def main_features_by_popularity(
     collections: DataFrame,
     label: str = "num_followers",
-    outputs: Sequence[tuple[str, str]] = (
-        ("num_tracks", "mean_track_length"),
-        ("num_artists", "mean_num_artists"),
-        ("num_albums", "mean_num_albums"),
-    ),
+    outputs: Sequence[tuple[str, str]] = MAIN_FEATURE_OUTPUTS,
 ) -> DataFrame:
     """Mean of the collection-level counts per popularity level."""
     return collections.groupBy(label).agg(*[F.avg(src).alias(dst) for src, dst in outputs])

@@ -24,6 +24,8 @@ from cadenza.operators import univariate as U
 from cadenza.sources import readers as RD
 from cadenza.sources import sinks as SK
 
+# The item-feature columns rolled up per collection, in the
+# reference's order, and the label.
 AUDIO_FEATURES = [
     "acousticness", "danceability", "duration_ms", "energy", "instrumentalness", "key",
     "liveness", "loudness", "mode", "speechiness", "tempo", "valence",

@@ -136,6 +136,34 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
+def metrics_for_predictions(df: DataFrame, label: str, predictions: Sequence[str]) -> DataFrame:
+    """M6 for several prediction columns of the same rows in one pass:
+    (predictor, n, rmse, r2), one row per prediction column."""
+    y = F.col(label)
+    aggs = []
+    for p in predictions:
+        ok = y.isNotNull() & F.col(p).isNotNull()
+        err = F.when(ok, y - F.col(p))
+        aggs += [
+            F.count_if(ok).alias(f"n__{p}"),
+            F.sum(err * err).alias(f"res__{p}"),
+            (F.var_pop(F.when(ok, y)) * F.count_if(ok)).alias(f"tot__{p}"),
+        ]
+    row = df.agg(*aggs)
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(p).alias("predictor"),
+                F.col(f"n__{p}").alias("n"),
+                F.sqrt(F.col(f"res__{p}") / F.col(f"n__{p}")).alias("rmse"),
+                (F.lit(1.0) - F.try_divide(F.col(f"res__{p}"), F.col(f"tot__{p}"))).alias("r2"),
+            )
+            for p in predictions
+        ]
+    )
+    return row.select(F.explode(cells).alias("_m")).select("_m.*")
+
+
 def metrics_table(sets: dict[str, DataFrame], label: str, prediction: str) -> DataFrame:
     """M6 for several row sets: (set, n, rmse, r2)."""
     parts = [regression_metrics(df, label, prediction).select(F.lit(name).alias("set"), "*") for name, df in sets.items()]
@@ -325,12 +353,21 @@ def ablation(
             model = cv_model.bestModel
         else:
             model = pipeline.fit(train)
-        scored = {"train": model.transform(train), "test": model.transform(test)}
-        m = metrics_table(scored, label, "prediction")
-        b = metrics_table(scored, label, "baseline_prediction").select(
-            "set", F.col("rmse").alias("baseline_rmse"), F.col("r2").alias("baseline_r2")
-        )
-        row = m.join(b, "set").select(
+        parts = []
+        for name, rows in (("train", train), ("test", test)):
+            m = metrics_for_predictions(model.transform(rows), label, ["prediction", "baseline_prediction"])
+            wide = m.groupBy().pivot("predictor", ["prediction", "baseline_prediction"]).agg(
+                F.first("n").alias("n"), F.first("rmse").alias("rmse"), F.first("r2").alias("r2")
+            )
+            parts.append(wide.select(
+                F.lit(name).alias("set"),
+                F.col("prediction_n").alias("n"),
+                F.col("prediction_rmse").alias("rmse"),
+                F.col("prediction_r2").alias("r2"),
+                F.col("baseline_prediction_rmse").alias("baseline_rmse"),
+                F.col("baseline_prediction_r2").alias("baseline_r2"),
+            ))
+        row = parts[0].unionByName(parts[1]).select(
             F.lit(outl).alias("remove_outliers"), F.lit(skew).alias("remove_skewness"),
             F.lit(under).alias("undersampling"), "*", F.lit(cv_r2).cast("double").alias("cv_r2")
         )

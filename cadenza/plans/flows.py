@@ -178,6 +178,8 @@ def model(
     for name, df in scored.items():
         out = df.select("pid", LABEL, "prediction", "baseline_prediction")
         SK.write_csv(out, f"{out_dir}/predictions/{name}", header=False)
-    model_m = M.metrics_table(scored, LABEL, "prediction").withColumn("predictor", F.lit("model"))
-    base_m = M.metrics_table(scored, LABEL, "baseline_prediction").withColumn("predictor", F.lit("baseline"))
-    return model_m.unionByName(base_m)
+    parts = [
+        M.metrics_for_predictions(df, LABEL, ["prediction", "baseline_prediction"]).select(F.lit(name).alias("set"), "*")
+        for name, df in scored.items()
+    ]
+    return parts[0].unionByName(parts[1])

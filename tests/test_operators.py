@@ -269,3 +269,20 @@ def test_describe_strings_on_a_string_column(spark):  # T8
     assert rows["mean"][0] is None and rows["min"][0] == "a" and rows["max"][0] == "c"
     long = {r.column: r for r in U.describe_long(df, ["x"]).collect()}
     assert long["x"].mean == 2.0 and long["x"]["count"] == 2
+
+
+def test_metrics_for_predictions_match_single_metrics(spark):  # M6
+    rows = [(i, float(i % 5), float(i % 3), None if i % 7 == 0 else 2.0) for i in range(100)]
+    df = spark.createDataFrame(rows, "pid bigint, y double, p double, q double")
+    multi = {r.predictor: r for r in M.metrics_for_predictions(df, "y", ["p", "q"]).collect()}
+    for col in ("p", "q"):
+        one = M.regression_metrics(df, "y", col).first()
+        assert multi[col].n == one.n
+        assert multi[col].rmse == pytest.approx(one.rmse) and multi[col].r2 == pytest.approx(one.r2)
+
+
+def test_bernoulli_undersampling_is_seeded(spark):  # M2
+    df = spark.createDataFrame([(i, 1.0) for i in range(400)] + [(1000 + i, 2.0) for i in range(100)], "pid bigint, label double")
+    a = M.undersample(df, "label", 1.0, 2.0, method="bernoulli", seed=3).where("label = 1.0").count()
+    b = M.undersample(df, "label", 1.0, 2.0, method="bernoulli", seed=3).where("label = 1.0").count()
+    assert a == b and 50 <= a <= 150

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.scalar import safe_ln
+from cadenza.session import materialize
 
 # Fixed values of the reference's modeling set-up: outlier quantile, seed,
 # folds, metric, and the 3 x 3 x 5 x 2 = 90-point forest grid.
@@ -336,6 +337,9 @@ def ablation(
     results = None
     for outl, skew, under in itertools.product([False, True], repeat=3):
         prepared = prepare(df, label, outl, skew, under, majority, minority, key).where(F.col(label).isNotNull())
+        # Written once: the folds, the refit and the metrics all read it, instead
+        # of re-running the threshold/size/mean subqueries of the preparation.
+        prepared = materialize(prepared)
         train, test = hash_split(prepared, key)
         train, test = with_baseline(train, test, label)
         pipeline, forest = forest_pipeline(features, label, spec)

@@ -168,6 +168,8 @@ def model(
     metrics table (model and baseline on train and test)."""
     prepared = M.prepare(feature_table, LABEL, remove_outliers, remove_skewness, undersampling, majority, minority)
     prepared = prepared.where(F.col(LABEL).isNotNull())
+    SK.write_parquet(prepared, f"{out_dir}/_work/prepared")
+    prepared = spark.read.parquet(f"{out_dir}/_work/prepared")
     train, test = M.hash_split(prepared)
     train, test = M.with_baseline(train, test, LABEL)
     cv_model, forest, params = M.grid_search(train, features, LABEL, **(grid or {}))

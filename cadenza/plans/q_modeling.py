@@ -51,6 +51,13 @@ def _all_techniques(spark, d):
     return M.log_target(M.undersample(cut, LABEL, majority, minority), LABEL)
 
 
+def _prepared_for_fitting(spark, d):
+    """The prepared rows written once before model fitting reads them many times."""
+    from cadenza.session import materialize
+
+    return materialize(_all_techniques(spark, d).where(F.col(LABEL).isNotNull()))
+
+
 @register("outlier_cut", with_ctes(["ftable"], f"SELECT pid, {r(LABEL)} AS {LABEL} FROM ({_CUT}) t"), "M1 A9 F4")
 def outlier_cut(spark, d):
     return M.remove_outliers(_feature_table(spark, d), LABEL).select("pid", LABEL)
@@ -149,14 +156,14 @@ SMALL_GRID = dict(num_trees=(8, 16), subsampling=(0.5,), min_instances=(1,), str
 
 @register("forest_cv_metrics", None, "M7 M8 M9 M10 M11 M12")
 def forest_cv_metrics(spark, d):
-    train, _ = M.hash_split(_all_techniques(spark, d).where(F.col(LABEL).isNotNull()))
+    train, _ = M.hash_split(_prepared_for_fitting(spark, d))
     cv_model, forest, grid = M.grid_search(train, FEATURES, LABEL, **SMALL_GRID)
     return M.cv_report(spark, cv_model, forest, grid)
 
 
 @register("forest_importances", None, "M12 M9")
 def forest_importances(spark, d):
-    train, _ = M.hash_split(_all_techniques(spark, d).where(F.col(LABEL).isNotNull()))
+    train, _ = M.hash_split(_prepared_for_fitting(spark, d))
     pipeline, _ = M.forest_pipeline(FEATURES, LABEL)
     return M.importances(spark, pipeline.fit(train), FEATURES)
 
@@ -168,8 +175,7 @@ def forest_predictions(spark, d):
     from cadenza.session import ensure_checkpoint_dir
     from cadenza.sources.sinks import save_model
 
-    prepared = _all_techniques(spark, d).where(F.col(LABEL).isNotNull())
-    train, test = M.hash_split(prepared)
+    train, test = M.hash_split(_prepared_for_fitting(spark, d))
     train, test = M.with_baseline(train, test, LABEL)
     pipeline, _ = M.forest_pipeline(FEATURES, LABEL)
     model = pipeline.fit(train)

@@ -134,12 +134,19 @@ def mutual_information_binned(
     return cells.groupBy("feature").agg(F.sum(term).alias("mutual_information"))
 
 
-def scatter_points(df: DataFrame, key: str, x: str, label: str) -> DataFrame:
-    """(key, x, log_label, quartile, mean_x) — the data behind a scatter with a mean line."""
+def scatter_points(
+    df: DataFrame, key: str, x: str, label: str, sample_fraction: float | None = None, seed: int = 0
+) -> DataFrame:
+    """(key, x, log_label, quartile, mean_x) — the data behind a scatter with a mean line.
+
+    Quartiles and the mean are always computed on all rows; ``sample_fraction``
+    only thins the returned points (seeded), for plotting.
+    """
     g = with_quartile(df, label)
     mean_x = df.select(F.avg(x)).scalar()
-    return g.select(key, F.col(x).cast("double").alias(x), safe_ln(label).alias("log_label"), "quartile",
-                    mean_x.alias(f"mean_{x}"))
+    out = g.select(key, F.col(x).cast("double").alias(x), safe_ln(label).alias("log_label"), "quartile",
+                   mean_x.alias(f"mean_{x}"))
+    return out.sample(fraction=sample_fraction, seed=seed) if sample_fraction is not None else out
 
 
 def rename_nested_aggregates(df: DataFrame) -> DataFrame:

@@ -286,3 +286,11 @@ def test_bernoulli_undersampling_is_seeded(spark):  # M2
     a = M.undersample(df, "label", 1.0, 2.0, method="bernoulli", seed=3).where("label = 1.0").count()
     b = M.undersample(df, "label", 1.0, 2.0, method="bernoulli", seed=3).where("label = 1.0").count()
     assert a == b and 50 <= a <= 150
+
+
+def test_scatter_sample_keeps_statistics_whole(spark):  # D9
+    df = spark.createDataFrame([(i, float(i % 10), float(1 + i % 4)) for i in range(400)], "pid bigint, x double, y double")
+    full = A.scatter_points(df, "pid", "x", "y")
+    thin = A.scatter_points(df, "pid", "x", "y", sample_fraction=0.25, seed=1)
+    assert full.count() == 400 and 50 < thin.count() < 150
+    assert {r.mean_x for r in thin.collect()} == {4.5}

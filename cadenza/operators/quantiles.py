@@ -226,6 +226,7 @@ def percentiles_wide(
     buckets: int = 128,
     method: str = "adaptive",
     max_distinct: int = _MAX_DISTINCT,
+    materialize_counts: bool = True,
 ) -> DataFrame:
     """One row per group, one column per value column: the ``prob`` percentile.
 
@@ -245,7 +246,10 @@ def percentiles_wide(
         counts = _long_values(df, group_cols, value_cols, keep_nulls=True).groupBy(*gf, "v").agg(
             F.count(F.lit(1)).alias("c")
         )
-        counts = materialize_table(counts)
+        if materialize_counts:
+            # Read twice (size check, percentiles): write once unless the input
+            # is already a cheap-to-read table.
+            counts = materialize_table(counts)
         widest = counts.groupBy(*gf).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
         if widest <= max_distinct:
             aggs = [

@@ -65,10 +65,13 @@ def rollup_to_popularity(
     stat: str = "mean",
     label: str = "num_followers",
     median_method: str = "adaptive",
+    materialize_counts: bool = True,
 ) -> DataFrame:
     """Second level: one row per distinct label value (mean of means, T6)."""
     if stat == "median":
-        return percentiles_wide(per_collection, [label], feature_cols, 0.5, method=median_method)
+        return percentiles_wide(
+            per_collection, [label], feature_cols, 0.5, method=median_method, materialize_counts=materialize_counts
+        )
     return per_collection.groupBy(label).agg(*[_stat(c, stat) for c in feature_cols])
 
 
@@ -92,6 +95,7 @@ def item_feature_rollup(
         # The second level reads the first twice (size check, then the
         # percentiles): write it once as a table instead of re-running it.
         per_collection = materialize(per_collection)
+        return rollup_to_popularity(per_collection, feature_cols, stat, label, median_method, materialize_counts=False)
     return rollup_to_popularity(per_collection, feature_cols, stat, label, median_method)
 
 

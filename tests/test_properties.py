@@ -45,3 +45,50 @@ def test_equal_width_histogram_equals_numpy(spark, values, bins):
         assert sum(got) == len(values)
         # Bin edges are computed the same way up to rounding of the edge itself.
         assert np.abs(np.array(got) - want).sum() <= 2
+
+
+def test_kernel_density_equals_numpy(spark):
+    rng = np.random.default_rng(2)
+    xs = np.round(rng.normal(10, 3, 300), 1)
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    got = {r.point: r.density for r in D.kernel_density(df, "x", 20).collect()}
+    h = xs.std(ddof=1) * len(xs) ** -0.2
+    grid = np.linspace(xs.min(), xs.max(), 20)
+    want = np.exp(-0.5 * ((grid[:, None] - xs[None, :]) / h) ** 2).sum(axis=1) / (len(xs) * h * np.sqrt(2 * np.pi))
+    assert np.allclose([got[i] for i in range(20)], want, rtol=1e-9)
+
+
+def test_binned_mutual_information_equals_numpy(spark):
+    from cadenza.operators.association import mutual_information_binned
+
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 20, 500).astype(float)
+    y = x + rng.integers(0, 5, 500)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    got = mutual_information_binned(df, "y", ["x"], bins=5).first().mutual_information
+
+    def bins(v):
+        return np.minimum(np.floor((v - v.min()) / (v.max() - v.min()) * 5), 4).astype(int)
+
+    joint = np.zeros((5, 5))
+    for a, b in zip(bins(x), bins(y)):
+        joint[a, b] += 1
+    p = joint / joint.sum()
+    px, py = p.sum(axis=1, keepdims=True), p.sum(axis=0, keepdims=True)
+    nz = p > 0
+    want = (p[nz] * np.log(p[nz] / (px @ py)[nz])).sum()
+    assert np.isclose(got, want, rtol=1e-9)
+
+
+def test_corr_matrix_is_symmetric_with_unit_diagonal(spark):
+    from cadenza.operators.association import corr_matrix
+
+    rng = np.random.default_rng(6)
+    rows = [(float(a), float(b), float(c)) for a, b, c in rng.normal(size=(200, 3))]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    m = {(r.left, r.right): r.correlation for r in corr_matrix(df, ["a", "b", "c"]).collect()}
+    for i in "abc":
+        assert np.isclose(m[(i, i)], 1.0)
+        for j in "abc":
+            assert np.isclose(m[(i, j)], m[(j, i)])
+    assert np.isclose(m[("a", "b")], np.corrcoef(np.array(rows).T)[0, 1])

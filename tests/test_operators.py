@@ -294,3 +294,21 @@ def test_scatter_sample_keeps_statistics_whole(spark):  # D9
     thin = A.scatter_points(df, "pid", "x", "y", sample_fraction=0.25, seed=1)
     assert full.count() == 400 and 50 < thin.count() < 150
     assert {r.mean_x for r in thin.collect()} == {4.5}
+
+
+def test_named_value_counts_zero_for_collections_without_items(spark):  # C4
+    occ = spark.createDataFrame([(1, "X"), (1, "Y"), (1, "X")], "pid bigint, artist_name string")
+    heads = spark.createDataFrame([(1, 3), (2, 3), (3, 1)], "pid bigint, num_followers bigint")
+    per = {r.pid: r.value_count for r in R.named_value_count_per_collection(occ, heads, "X").collect()}
+    assert per == {1: 2, 2: 0, 3: 0}
+    pop = {r.num_followers: r.avg_value_count for r in R.named_value_by_popularity(
+        R.named_value_count_per_collection(occ, heads, "X")).collect()}
+    assert pop == {3: 1.0, 1: 0.0}
+
+
+def test_feature_table_takes_label_and_rows_from_the_audio_side(spark):  # C5, T2
+    audio = spark.createDataFrame([(1, 2.0, 0.5)], "pid bigint, num_followers double, f double")
+    main = spark.createDataFrame([(1, 3, 2, 1), (2, 0, 0, 0)], "pid bigint, num_tracks int, num_artists int, num_albums int")
+    genres = spark.createDataFrame([(1, 1.5)], "pid bigint, genre_count double")
+    rows = R.feature_table(audio, main, genres).collect()
+    assert len(rows) == 1 and rows[0].num_followers == 2.0 and rows[0].genre_count == 1.5

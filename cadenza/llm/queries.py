@@ -34,3 +34,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cadenza.llm.bpe import encoding_digests
 
     return encoding_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@query
+def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cadenza.llm.lsh_forest import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"), size=4, percent=80)

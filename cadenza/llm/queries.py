@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cadenza.llm import fingerprints as _fingerprints
 from cadenza.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_fingerprints": _fingerprints.SQL}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -41,3 +42,10 @@ def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cadenza.llm.lsh_forest import near_duplicates
 
     return near_duplicates(read_table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+@query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cadenza.llm.fingerprints import fingerprints
+
+    return fingerprints(read_table(spark, sf_dir, "documents"))

@@ -49,3 +49,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cadenza.llm.fingerprints import fingerprints
 
     return fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cadenza.llm.blob_ledger import secret_scan, span_digests
+
+    return span_digests(secret_scan(read_table(spark, sf_dir, "documents")))

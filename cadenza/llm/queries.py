@@ -56,3 +56,10 @@ def op1_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cadenza.llm.blob_ledger import secret_scan, span_digests
 
     return span_digests(secret_scan(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cadenza.llm.langid import predict_languages
+
+    return predict_languages(read_table(spark, sf_dir, "documents"))

@@ -63,3 +63,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cadenza.llm.langid import predict_languages
 
     return predict_languages(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cadenza.llm.pii import find_personal_data, span_digests
+
+    return span_digests(find_personal_data(read_table(spark, sf_dir, "documents")))

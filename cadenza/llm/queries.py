@@ -70,3 +70,10 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cadenza.llm.pii import find_personal_data, span_digests
 
     return span_digests(find_personal_data(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cadenza.llm.licenses import scan_licenses
+
+    return scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")

@@ -77,3 +77,17 @@ def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | No
                     yield out
 
     return df.mapInArrow(run, schema)
+
+
+def filter_blocks(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray], text: str = "text") -> DataFrame:
+    """The rows of ``df``, with all its columns, that ``keep`` marks in each block."""
+    ship(df.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            for block in blocks(batch, text):
+                out = block.filter(pa.array(keep(block), pa.bool_()))
+                if out.num_rows:
+                    yield out
+
+    return df.mapInArrow(run, df.schema)

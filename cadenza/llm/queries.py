@@ -77,3 +77,10 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cadenza.llm.licenses import scan_licenses
 
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cadenza.llm.decontamination import contaminated
+
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

@@ -8,8 +8,8 @@ with impacts divided by that, the threshold is one number for all items.
 
 Retrieval is weak-AND with block maxima, over all passages of a block of
 texts at once: an item's words are essential from the rarest on until the
-rest can't reach the threshold alone, so a passage without an essential word
-of the item can't retrieve it. Essential postings add up per passage and
+rest has less than ``REST`` of its score, so a passage must reach the
+threshold less that by essential words. Essential postings add up per passage and
 block of ``ITEMS`` items with the block's largest impact of each word; where
 that sum and the block's largest rest stay below the threshold, the block is
 skipped; only the others get exact scores.
@@ -46,7 +46,9 @@ from cadenza.llm.common import byte_buffer, filter_blocks, map_blocks, texts
 PASSAGE, STEP, PIECE = 64, 32, 48
 K1, B = 1.2, 0.75
 #: Share of an item's own score at which a passage retrieves it.
-THRESHOLD = 0.4
+THRESHOLD = 0.5
+#: An item's words are essential, from the rarest on, until the others' share of its score is below this.
+REST = 0.15
 SHINGLE_WORDS = 5
 #: Shares that verify a retrieved item: of its shingles, and of the words of question and answer.
 SHINGLE_SHARE, PART_SHARE = 0.8, 0.5
@@ -125,7 +127,7 @@ class Index:
         for p, impacts in enumerate(self.impacts):
             b, left = p // ITEMS, 1.0
             for t in sorted(impacts, key=lambda t: (df[t], t)):
-                if left < THRESHOLD:
+                if left < REST:
                     break
                 block_max[t, b] = max(block_max[t, b], impacts[t])
                 left -= impacts[t]

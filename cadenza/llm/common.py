@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Text bytes handled at once inside a task (one longer text is handled alone).
@@ -91,3 +91,29 @@ def filter_blocks(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray], t
                     yield out
 
     return df.mapInArrow(run, df.schema)
+
+
+def remainder(doc_id: Column, n: int) -> Column:
+    """crc32 of the doc_id as text, modulo n (null: null)."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % n
+
+
+def labelled_sample(docs: DataFrame, labelled: DataFrame, per_label: int) -> list[tuple[str, object]]:
+    """(text, label) of at most ``per_label`` doc_ids of each label, by a hash of doc_id.
+
+    ``labelled`` has doc_id and label; null labels and texts are left out, of
+    a repeated doc_id the smallest label and text count. Only ids are ranked,
+    with a limit in every task, so the bound holds for all that moves.
+    """
+    rows = labelled.select(F.col("doc_id").cast("bigint").alias("doc_id"), "label").dropna().groupBy("doc_id").agg(F.min("label").alias("label"))
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).select("doc_id", "label").collect()
+    if not chosen:
+        return []
+    labels = {r["doc_id"]: r["label"] for r in chosen}
+    ids = docs.sparkSession.createDataFrame([(i,) for i in labels], "doc_id bigint")
+    found = texts(docs.where(F.col("text").isNotNull())).join(F.broadcast(ids), "doc_id", "left_semi").collect()
+    once: dict = {}
+    for r in found:
+        once[r["doc_id"]] = min(r["text"], once.get(r["doc_id"], r["text"]))
+    return [(text, labels[i]) for i, text in sorted(once.items())]

@@ -24,12 +24,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm import kernels as K
 from cadenza.llm import svm
-from cadenza.llm.common import byte_buffer, map_blocks, texts
+from cadenza.llm.common import byte_buffer, labelled_sample, map_blocks, remainder, texts
 
 #: Labelled texts per language that the machines are fitted on.
 PER_LANGUAGE = 600
@@ -157,25 +157,6 @@ def fit(rows: list[tuple[str, str]]) -> Model | None:
     return Model(table, np.array(bias or [0.0]), families, members, columns)
 
 
-def remainder(doc_id: Column, n: int) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % n
-
-
-def sample(docs: DataFrame, teaches: Column, label: str, per_label: int) -> list[tuple[str, object]]:
-    """(text, label) of at most ``per_label`` rows per label, by a hash of doc_id. Only ids are ranked; the bound holds for what reaches the driver."""
-    rows = docs.where(teaches & F.col(label).isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col(label).alias("label")).dropDuplicates(["doc_id"])
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    few = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).select("doc_id", "label")
-    chosen = few.collect()
-    if not chosen:
-        return []
-    labels = {r["doc_id"]: r["label"] for r in chosen}
-    ids = docs.sparkSession.createDataFrame([(i,) for i in labels], "doc_id bigint")
-    found = texts(docs.where(F.col("text").isNotNull())).join(F.broadcast(ids), "doc_id", "left_semi").collect()
-    once = {r["doc_id"]: r["text"] for r in sorted(found, key=lambda r: r["text"])}
-    return [(text, labels[i]) for i, text in once.items()]
-
-
 def no_letter(texts_: list[str], data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     low = K.LOWER[data]
     ascii_ = np.append(0, np.cumsum((low >= 0x61) & (low <= 0x7A)))
@@ -203,5 +184,6 @@ def identify(docs: DataFrame, model: Model | None, held_out: Column) -> DataFram
 def predict_languages(docs: DataFrame, fold: int = 2, folds: int = 4, per_language: int = PER_LANGUAGE) -> DataFrame:
     """Fit on the rows outside the held-out fold, predict all."""
     part = remainder(F.col("doc_id"), folds)
-    model = fit(sample(docs, part != fold, "lang", per_language))
+    labelled = docs.where(part != fold).select("doc_id", F.col("lang").alias("label"))
+    model = fit(labelled_sample(docs, labelled, per_language))
     return identify(docs, model, part == fold)

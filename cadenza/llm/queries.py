@@ -84,3 +84,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cadenza.llm.decontamination import contaminated
 
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cadenza.llm.toxicity import fit, score
+
+    docs = read_table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, read_table(spark, sf_dir, "labels")))

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from cadenza.llm import langid
+from cadenza.llm.common import labelled_sample
 
 SF = "/root/testdata/sf0.01"
 
@@ -47,7 +48,7 @@ def test_odd_rows(spark):
 def test_learns_only_from_its_fold(spark):
     rows = [(i, "the words" if i % 2 else "die wörter", "en" if i % 2 else "de") for i in range(200)]
     docs = documents(spark, rows)
-    part = langid.remainder(F.col("doc_id"), 4)
-    assert {t for t, _ in langid.sample(docs, part != 2, "lang", 10)} == {"the words", "die wörter"}
+    chosen = labelled_sample(docs, docs.select("doc_id", F.col("lang").alias("label")), 10)
+    assert sorted(lang for _, lang in chosen) == ["de"] * 10 + ["en"] * 10
     wrong = [(i, t, "xx" if zlib.crc32(str(i).encode()) % 4 == 2 else lang) for i, t, lang in rows]
     assert "xx" not in {r.lang_pred for r in langid.predict_languages(documents(spark, wrong)).collect()}

@@ -4,48 +4,54 @@
 and merges each group's map in one task: a popularity level that holds a third
 of all collections then ends up, with all its distinct values, in one task.
 The operator here computes the same numbers (linear interpolation between the
-two closest ranks, as ``percentile`` and DuckDB's ``quantile_cont``) with only
-bounded work per task:
+two closest ranks, as ``percentile`` and DuckDB's ``quantile_cont``) with
+bounded work per task, on one path for all sizes:
 
 1. pre-aggregate (group, feature, value) -> count (map-side combine; a hot
    group is spread by value over the shuffle);
-2. cut each feature's value range into ``buckets`` ranges with approximate
-   splitters (``percentile_approx`` over the distinct values, one small row
-   per feature, broadcast);
-3. count per (group, feature, bucket) and take running offsets per group over
-   at most ``buckets`` rows;
-4. keep only the buckets that hold a wanted rank and take running counts
-   inside them, one bucket of one group per window partition.
-
-The splitters only balance the work; they never change the result.
+2. cut each feature's value range into ``BUCKETS`` ranges with approximate
+   splitters, count per (group, feature, range) and keep only the ranges that
+   hold a wanted rank; cut those again, ``LEVELS`` times in all. The splitters
+   of a level are one small row per feature and range that was cut;
+3. take running counts inside the last ranges, one range of one group per
+   window partition: 1 / BUCKETS ** LEVELS of a feature's distinct values.
+
+The splitters only balance the work; they never change the result. A range of
+equal values can't be cut, but counts have one row per value, so it is one row.
+
+NULLs don't count; NaN is a value above all others (as in ``percentile``). A
+NULL group is a group like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.session import materialize as materialize_table
-
 _ONE = "__all__"
 
-
-_MAX_DISTINCT = 1_000_000
+#: Ranges one range is cut into, and how often: 1/4096 of a feature's distinct values is left to one task.
+BUCKETS = 64
+LEVELS = 2
 
 
-def _long_values(
-    df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str], keep_nulls: bool = False
-) -> DataFrame:
+def _long_values(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in value_cols])
     long = df.select(*group_cols, F.explode(pairs).alias("_kv")).select(*group_cols, "_kv.feature", "_kv.v")
-    if keep_nulls:
-        return long.where(F.col("v").isNull() | ~F.isnan("v"))
-    return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    return long.where(F.col("v").isNotNull())
+
 
+def _same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Null-safe equi join; the columns of ``on`` come from the left side."""
+    named = right.select(*[F.col(c).alias(f"__{c}") if c in on else F.col(c) for c in right.columns])
+    condition = reduce(lambda a, b: a & b, [left[c].eqNullSafe(named[f"__{c}"]) for c in on])
+    return left.join(named, condition, how).drop(*[f"__{c}" for c in on])
 
-def _bucket_of(v, splits, buckets: int):
+
+def _bucket_of(v: Column, splits: Column, buckets: int) -> Column:
     """Number of splitters below ``v``, as a binary search of nested CASEs.
 
     Higher-order functions (``filter``) are evaluated without code generation;
@@ -67,78 +73,56 @@ def percentiles_long(
     group_cols: Sequence[str],
     value_cols: Sequence[str],
     probs: Sequence[float],
-    buckets: int = 128,
-    materialize: bool = False,
+    buckets: int = BUCKETS,
+    levels: int = LEVELS,
 ) -> DataFrame:
     """(group_cols..., feature, p, value): exact percentiles, long form.
 
-    Groups whose feature is all NULL have no row for that feature.
+    Groups whose feature is all NULL have no row for that feature. ``buckets``
+    and ``levels`` only spread the work.
     """
     group_cols = list(group_cols)
+    keys = group_cols or [_ONE]
     if not group_cols:
         df = df.withColumn(_ONE, F.lit(0))
-        keys = [_ONE]
-    else:
-        keys = group_cols
     gf = keys + ["feature"]
     counts = _long_values(df, keys, value_cols).groupBy(*gf, "v").agg(F.count(F.lit(1)).alias("c"))
-    if materialize:
-        # Every later step reads ``counts`` (splitters, bucket totals, the
-        # selected buckets): cut the lineage once so the input plan runs once.
-        counts = materialize_table(counts)
-    out = _bucketed_percentiles(counts, gf, probs, buckets)
-    if not group_cols:
-        out = out.drop(_ONE)
-    return out
+    out = _ranks(counts, gf, probs, buckets, levels)
+    return out if group_cols else out.drop(_ONE)
 
 
-def _bucketed_percentiles(counts: DataFrame, gf: list[str], probs: Sequence[float], buckets: int) -> DataFrame:
-    """Exact percentiles from (gf..., v, c) rows with bounded work per task."""
+def _ranks(counts: DataFrame, gf: list[str], probs: Sequence[float], buckets: int, levels: int) -> DataFrame:
+    """Exact percentiles from (gf..., v, c) rows."""
     grid = [i / buckets for i in range(1, buckets)]
-    splitters = counts.groupBy("feature").agg(
-        F.percentile_approx("v", grid, 10 * buckets).alias("splits")
-    )
-    # One row per requested feature: the size is bounded by len(value_cols).
-    bucketed = counts.join(F.broadcast(splitters), "feature").select(
-        *gf, "v", "c", _bucket_of(F.col("v"), F.col("splits"), buckets).alias("b")
-    )
-
-    per_bucket = bucketed.groupBy(*gf, "b").agg(F.sum("c").alias("bc"))
-    by_group = Window.partitionBy(*gf)
-    offsets = per_bucket.select(
-        *gf,
-        "b",
-        "bc",
-        F.coalesce(
-            F.sum("bc").over(by_group.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("before"),
-        F.sum("bc").over(by_group).alias("n"),
-    )
+    rows = counts.withColumn("b", F.lit(0).cast("long"))
+    total = counts.groupBy(*gf).agg(F.sum("c").alias("n"))
     pos = (F.col("n") - 1) * F.col("p")
     wanted = (
-        offsets.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        total.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("pos", pos)
         .withColumn("r", F.explode(F.array_distinct(F.array(F.floor("pos"), F.ceil("pos")))))
-        .where((F.col("before") <= F.col("r")) & (F.col("r") < F.col("before") + F.col("bc")))
-        .select(*gf, "b", "before", "p", "pos", "r")
+        .select(*gf, F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("before"), "p", "pos", "r")
     )
-    hit_buckets = wanted.select(*gf, "b").distinct()
-    inside = (
-        bucketed.join(hit_buckets, gf + ["b"], "left_semi")
-        .withColumn(
-            "cum",
-            F.sum("c").over(
-                Window.partitionBy(*gf, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
+    for _ in range(levels):
+        # One row per feature and range cut so far: at most features x buckets ** level.
+        splitters = rows.groupBy("feature", "b").agg(
+            F.percentile_approx(F.when(~F.isnan("v"), F.col("v")), grid, 10 * buckets).alias("splits")
         )
-    )
-    at_rank = inside.join(wanted, gf + ["b"]).where(
-        (F.col("before") + F.col("cum") - F.col("c") <= F.col("r")) & (F.col("r") < F.col("before") + F.col("cum"))
-    )
-    lo = F.floor("pos")
-    hi = F.ceil("pos")
-    v_lo = F.max(F.when(F.col("r") == lo, F.col("v")))
-    v_hi = F.max(F.when(F.col("r") == hi, F.col("v")))
+        cut = rows.join(F.broadcast(splitters), ["feature", "b"]).withColumn("s", _bucket_of(F.col("v"), F.col("splits"), buckets))
+        sums = cut.groupBy(*gf, "b", "s").agg(F.sum("c").alias("bc"))
+        below = Window.partitionBy(*gf, "b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("inner", F.coalesce(F.sum("bc").over(below), F.lit(0)))
+        at = F.col("before") + F.col("inner")
+        next_ = (F.col("b") * buckets + F.col("s")).alias("b")
+        hit = _same(wanted, sums, gf + ["b"]).where((at <= F.col("r")) & (F.col("r") < at + F.col("bc")))
+        wanted = hit.select(*gf, next_, at.alias("before"), "p", "pos", "r")
+        rows = _same(cut.select(*gf, "v", "c", next_), wanted.select(*gf, "b").distinct(), gf + ["b"], "left_semi")
+    running = Window.partitionBy(*gf, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = rows.withColumn("cum", F.sum("c").over(running))
+    last = F.col("before") + F.col("cum")
+    at_rank = _same(wanted, inside, gf + ["b"]).where((last - F.col("c") <= F.col("r")) & (F.col("r") < last))
+    v_lo = F.max(F.when(F.col("r") == F.floor("pos"), F.col("v")))
+    v_hi = F.max(F.when(F.col("r") == F.ceil("pos"), F.col("v")))
     agg = at_rank.groupBy(*gf, "p").agg(v_lo.alias("v_lo"), v_hi.alias("v_hi"), F.first("pos").alias("pos"))
     value = F.when(F.floor("pos") == F.ceil("pos"), F.col("v_lo")).otherwise(
         (F.ceil("pos") - F.col("pos")) * F.col("v_lo") + (F.col("pos") - F.floor("pos")) * F.col("v_hi")
@@ -146,124 +130,27 @@ def _bucketed_percentiles(counts: DataFrame, gf: list[str], probs: Sequence[floa
     return agg.select(*gf, "p", value.alias("value"))
 
 
-def _frequency_percentiles(counts: DataFrame, gf: list[str], probs: Sequence[float]) -> DataFrame:
-    """Spark's exact ``percentile`` with the pre-aggregated count as frequency.
-
-    Per group the final merge holds one entry per distinct value of the group.
-    """
-    probs = [float(p) for p in probs]
-    agg = counts.groupBy(*gf).agg(
-        F.percentile(F.col("v"), F.array(*[F.lit(p) for p in probs]), F.col("c")).alias("_vals")
-    )
-    return agg.select(
-        *gf, F.explode(F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("p"), F.col("_vals").alias("value"))).alias("_z")
-    ).select(*gf, F.col("_z.p").alias("p"), F.col("_z.value").alias("value"))
-
-
-def percentiles_adaptive(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    value_cols: Sequence[str],
-    probs: Sequence[float],
-    max_distinct: int = _MAX_DISTINCT,
-    buckets: int = 128,
-    check_first: bool = True,
-    materialize: bool = True,
-) -> DataFrame:
-    """Exact percentiles, long form; hot groups split only when they exist.
-
-    Values are pre-aggregated to (group, feature, value) -> count, which
-    spreads a hot group over the shuffle by value. A group-feature with at most
-    ``max_distinct`` distinct values is finished by ``percentile`` with the
-    count as frequency (its memory is bounded by ``max_distinct``); groups above
-    the bound go through the bucketed path, in the same plan (the bucketed
-    stages run over no rows when no group is that wide). ``check_first``
-    instead runs one aggregate first and plans the bucketed path only if some
-    group needs it: cheaper for small inputs, an extra pass for large ones.
-    """
-    group_cols = list(group_cols)
-    if not group_cols:
-        df = df.withColumn(_ONE, F.lit(0))
-        keys = [_ONE]
-    else:
-        keys = group_cols
-    gf = keys + ["feature"]
-    counts = _long_values(df, keys, value_cols).groupBy(*gf, "v").agg(F.count(F.lit(1)).alias("c"))
-    if check_first:
-        if materialize:
-            # The size check and the percentiles both read ``counts``: write the
-            # pre-aggregated table once instead of running the input plan twice.
-            counts = materialize_table(counts)
-        widest = counts.groupBy(*gf).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
-        if widest <= max_distinct:
-            out = _frequency_percentiles(counts, gf, probs)
-            if not group_cols:
-                out = out.drop(_ONE)
-            return out
-    out = _split_by_width(counts, gf, probs, max_distinct, buckets)
-    if not group_cols:
-        out = out.drop(_ONE)
-    return out
-
-
-def _split_by_width(counts: DataFrame, gf: list[str], probs: Sequence[float], max_distinct: int, buckets: int) -> DataFrame:
-    """Group-features up to ``max_distinct`` distinct values by frequency
-    percentile, wider ones by the bucketed path; one plan."""
-    # One row per (group, feature): joined back to flag the groups above the
-    # bound (AQE broadcasts it when small and splits skewed partitions if not).
-    distinct = counts.groupBy(*gf).agg(F.count(F.lit(1)).alias("_d"))
-    flagged = counts.join(distinct, gf)
-    small = flagged.where(F.col("_d") <= max_distinct).drop("_d")
-    hot = flagged.where(F.col("_d") > max_distinct).drop("_d")
-    return _frequency_percentiles(small, gf, probs).unionByName(_bucketed_percentiles(hot, gf, probs, buckets))
-
-
 def percentiles_wide(
     df: DataFrame,
     group_cols: Sequence[str],
     value_cols: Sequence[str],
     prob: float = 0.5,
-    buckets: int = 128,
-    method: str = "adaptive",
-    max_distinct: int = _MAX_DISTINCT,
-    materialize_counts: bool = True,
+    method: str = "distributed",
+    buckets: int = BUCKETS,
+    levels: int = LEVELS,
 ) -> DataFrame:
     """One row per group, one column per value column: the ``prob`` percentile.
 
-    ``method``: ``"adaptive"`` (default, see ``percentiles_adaptive``),
-    ``"distributed"`` (always the bucketed path) or ``"builtin"`` (Spark's
-    ``percentile`` on raw rows: fine only when no group is large).
+    ``method="distributed"`` works for groups of any size;
+    ``"builtin"`` is one aggregate with Spark's ``percentile``, for groups
+    that are records (a collection's items). Both give the same numbers.
     """
     group_cols = list(group_cols)
     if method == "builtin":
-        aggs = [F.percentile(F.col(c), F.lit(prob)).alias(c) for c in value_cols]
+        aggs = [F.percentile(F.col(c).cast("double"), F.lit(prob)).alias(c) for c in value_cols]
         return df.groupBy(*group_cols).agg(*aggs)
-    if method == "adaptive" and group_cols:
-        # Pre-aggregated counts keep a row for NULL values too, so every group
-        # is present in them. When no group is wider than the bound, one
-        # aggregate per group gives all columns at once (no pivot, no join).
-        gf = group_cols + ["feature"]
-        counts = _long_values(df, group_cols, value_cols, keep_nulls=True).groupBy(*gf, "v").agg(
-            F.count(F.lit(1)).alias("c")
-        )
-        if materialize_counts:
-            # Read twice (size check, percentiles): write once unless the input
-            # is already a cheap-to-read table.
-            counts = materialize_table(counts)
-        widest = counts.groupBy(*gf).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
-        if widest <= max_distinct:
-            aggs = [
-                F.percentile(F.when(F.col("feature") == c, F.col("v")), F.lit(prob), F.col("c")).cast("double").alias(c)
-                for c in value_cols
-            ]
-            return counts.groupBy(*group_cols).agg(*aggs)
-        long = _split_by_width(counts.where(F.col("v").isNotNull()), gf, [prob], max_distinct, buckets)
-    elif method == "distributed":
-        long = percentiles_long(df, group_cols, value_cols, [prob], buckets)
-    else:
-        long = percentiles_adaptive(df, group_cols, value_cols, [prob], buckets=buckets)
+    long = percentiles_long(df, group_cols, value_cols, [prob], buckets, levels)
     wide = long.groupBy(*group_cols).pivot("feature", list(value_cols)).agg(F.first("value"))
     if group_cols:
-        groups = df.select(*group_cols).distinct()
-        wide = groups.join(wide, group_cols, "left")
+        wide = _same(df.select(*group_cols).distinct(), wide, group_cols, "left")
     return wide.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in value_cols])

@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.operators.quantiles import percentiles_wide
-from cadenza.session import materialize
 
 
 def join_item_features(
@@ -46,16 +45,16 @@ def rollup_to_collection(
     stat: str = "mean",
     collection: str = "pid",
     label: str = "num_followers",
-    median_method: str = "adaptive",
 ) -> DataFrame:
     """A7/A8 per collection: (pid, label, features...) with mean or exact median.
 
     The label is averaged (or its median taken) per collection as well, so it
-    becomes a double (reference behaviour).
+    becomes a double (reference behaviour). A collection is one record, so its
+    medians are one aggregate.
     """
     cols = [label, *feature_cols]
     if stat == "median":
-        return percentiles_wide(joined, [collection], cols, 0.5, method=median_method)
+        return percentiles_wide(joined, [collection], cols, 0.5, method="builtin")
     return joined.groupBy(collection).agg(*[_stat(c, stat) for c in cols])
 
 
@@ -64,14 +63,13 @@ def rollup_to_popularity(
     feature_cols: Sequence[str],
     stat: str = "mean",
     label: str = "num_followers",
-    median_method: str = "adaptive",
-    materialize_counts: bool = True,
 ) -> DataFrame:
-    """Second level: one row per distinct label value (mean of means, T6)."""
+    """Second level: one row per distinct label value (mean of means, T6).
+
+    A level may hold a third of all collections: its medians are distributed.
+    """
     if stat == "median":
-        return percentiles_wide(
-            per_collection, [label], feature_cols, 0.5, method=median_method, materialize_counts=materialize_counts
-        )
+        return percentiles_wide(per_collection, [label], feature_cols, 0.5)
     return per_collection.groupBy(label).agg(*[_stat(c, stat) for c in feature_cols])
 
 
@@ -84,19 +82,13 @@ def item_feature_rollup(
     item_col: str = "track_uri",
     collection: str = "pid",
     label: str = "num_followers",
-    median_method: str = "adaptive",
 ) -> DataFrame:
     """Occurrences -> left join features -> per collection -> per popularity."""
     joined = join_item_features(occurrences, features, feature_cols, item_col)
-    per_collection = rollup_to_collection(joined, feature_cols, stat, collection, label, median_method)
+    per_collection = rollup_to_collection(joined, feature_cols, stat, collection, label)
     if level == "collection":
         return per_collection
-    if stat == "median":
-        # The second level reads the first twice (size check, then the
-        # percentiles): write it once as a table instead of re-running it.
-        per_collection = materialize(per_collection)
-        return rollup_to_popularity(per_collection, feature_cols, stat, label, median_method, materialize_counts=False)
-    return rollup_to_popularity(per_collection, feature_cols, stat, label, median_method)
+    return rollup_to_popularity(per_collection, feature_cols, stat, label)
 
 
 # The output column names of the main-feature means (C2), as the

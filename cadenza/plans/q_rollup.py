@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadenza.operators import rollup as R
+from cadenza.operators.quantiles import percentiles_long
 from cadenza.plans.catalog import register
 from cadenza.plans.oracle import r, with_ctes
 from cadenza.sources import standins as S
@@ -68,6 +69,23 @@ def rollup_median_popularity(spark, d):
     )
 
 
+@register(
+    "median_null_and_nan",
+    f"""SELECT nullif(l_linenumber, 1) AS line, {r('quantile_cont(q, 0.25)')} AS low, {r('quantile_cont(q, 0.5)')} AS median
+        FROM (SELECT l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 'NaN'::DOUBLE ELSE CAST(l_quantity AS DOUBLE) END AS q
+              FROM lineitem) t GROUP BY 1""",
+    "A8",
+)
+def median_null_and_nan(spark, d):
+    """Percentiles by a key that may be NULL, of values of which a third are NaN (above all others)."""
+    li = S.table(spark, d, "lineitem")
+    q = F.when(F.col("l_orderkey") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("l_quantity").cast("double"))
+    rows = li.select(F.nullif("l_linenumber", F.lit(1)).alias("line"), q.alias("q"))
+    return percentiles_long(rows, ["line"], ["q"], [0.25, 0.5]).groupBy("line").pivot("p", [0.25, 0.5]).agg(F.first("value")).toDF(
+        "line", "low", "median"
+    )
+
+
 @register(
     "main_features_popularity",
     with_ctes(["colls"], f"""SELECT num_followers, {r('avg(num_tracks)')} AS mean_track_length,

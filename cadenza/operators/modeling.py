@@ -6,8 +6,8 @@ k-fold CV, M12 report, M13 scoring, M14 ablation over the preparation flags.
 
 Scalars (threshold, class sizes, training mean) enter the plans as scalar
 subqueries, so nothing is collected on the data path. Sampling and splitting
-default to arithmetic on the key (repeatable, checkable against SQL, trap
-T11); the engine's seeded ``sample``/``randomSplit`` are options.
+default to salted digests of the key (repeatable, independent of each other,
+checkable against SQL, trap T11); the engine's seeded ``sample``/``randomSplit`` are options.
 """
 
 from __future__ import annotations
@@ -38,19 +38,28 @@ GRID_SUBSAMPLING = (0.5, 0.7, 1.0)
 GRID_MIN_INSTANCES = (1, 5, 10, 15, 20)
 GRID_STRATEGIES = ("sqrt", "all")
 
-# Fixed values of the key-arithmetic uniform draw: a prime modulus and a
-# multiplier near modulus x golden ratio, so consecutive keys land about 0.618
-# apart (a Weyl sequence) instead of in runs; (k mod P) x A stays far below
-# 2^63. The SQL oracle uses the same numbers.
-HASH_MODULUS = 1000003
-HASH_MULTIPLIER = 618034
-HASH_OFFSET = 13
+# Fixed values of the repeatable draw: the first hex digits of an MD5 taken as
+# a number, and one salt per use, so sampling and splitting are independent.
+DRAW_DIGITS = 13
+SAMPLE_SALT = "sample"
+SPLIT_SALT = "split"
 
 
-def key_uniform(key: str, salt: int = 0) -> Column:
-    """A repeatable draw in [0, 1) from an integer key: ((k mod P) * A + B + salt) mod P / P."""
-    k = F.pmod(F.col(key).cast("long"), F.lit(HASH_MODULUS))
-    return F.pmod(k * HASH_MULTIPLIER + HASH_OFFSET + salt, F.lit(HASH_MODULUS)) / F.lit(float(HASH_MODULUS))
+def key_uniform(key: str, salt: str = "") -> Column:
+    """A repeatable draw in [0, 1) from a key: md5('salt:key'), its first 13 hex digits / 16^13.
+
+    Draws of different salts are independent of each other. A NULL key draws
+    as the text 'null', so no row is without a draw.
+    """
+    text = F.concat(F.lit(f"{salt}:"), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    number = F.conv(F.substring(F.md5(text.cast("binary")), 1, DRAW_DIGITS), 16, 10)
+    return number.cast("double") / F.lit(float(16**DRAW_DIGITS))
+
+
+def key_uniform_sql(key: str, salt: str = "") -> str:
+    """``key_uniform`` in DuckDB SQL."""
+    text = f"'{salt}:' || coalesce(CAST({key} AS VARCHAR), 'null')"
+    return f"(CAST(CAST('0x' || substr(md5({text}), 1, {DRAW_DIGITS}) AS BIGINT) AS DOUBLE) / {float(16**DRAW_DIGITS)})"
 
 
 def remove_outliers(df: DataFrame, label: str, quantile: float = OUTLIER_QUANTILE, accuracy: int = 10000) -> DataFrame:
@@ -75,11 +84,11 @@ def undersample(
 ) -> DataFrame:
     """M2: shrink the majority class to about the size of the minority class.
 
-    Keeps rows with label > majority, plus majority rows drawn with fraction
-    n(minority) / n(majority), clamped to 1 (trap T10: the reference fails when
-    the fraction exceeds 1 or n(majority) is 0). Rows below the majority label
-    are dropped, as in the reference. ``method="hash"`` draws by key
-    arithmetic; ``"bernoulli"`` uses ``rand(seed)``.
+    Majority rows are drawn with fraction n(minority) / n(majority), clamped to
+    1 (trap T10: the reference fails when the fraction exceeds 1 or
+    n(majority) is 0); all other rows stay, those without a label too.
+    ``method="hash"`` draws by the key (salt ``SAMPLE_SALT``);
+    ``"bernoulli"`` uses ``rand(seed)``.
     """
     maj = majority if isinstance(majority, Column) else F.lit(majority)
     mino = minority if isinstance(minority, Column) else F.lit(minority)
@@ -89,9 +98,8 @@ def undersample(
         )
     ).scalar()
     fraction = F.least(F.lit(1.0), F.try_divide(sizes["n_minor"].cast("double"), sizes["n_major"].cast("double")))
-    draw = key_uniform(key) if method == "hash" else F.rand(seed)
-    keep = (F.col(label) > maj) | ((F.col(label) == maj) & (draw < fraction))
-    return df.where(keep)
+    draw = key_uniform(key, SAMPLE_SALT) if method == "hash" else F.rand(seed)
+    return df.where(~F.col(label).eqNullSafe(maj) | (draw < fraction))
 
 
 def log_target(df: DataFrame, label: str) -> DataFrame:
@@ -99,8 +107,8 @@ def log_target(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn(label, safe_ln(label))
 
 
-def hash_split(df: DataFrame, key: str = "pid", train_fraction: float = 0.8, salt: int = 0) -> tuple[DataFrame, DataFrame]:
-    """M4: (train, test) by key arithmetic — the same rows every run and every action."""
+def hash_split(df: DataFrame, key: str = "pid", train_fraction: float = 0.8, salt: str = SPLIT_SALT) -> tuple[DataFrame, DataFrame]:
+    """M4: (train, test) by a digest of the key: the same rows every run and every action, each row in one set."""
     u = key_uniform(key, salt)
     return df.where(u < train_fraction), df.where(u >= train_fraction)
 
@@ -191,11 +199,12 @@ class ForestSpec:
     seed: int = 0
 
 
-def forest_pipeline(features: Sequence[str], label: str, spec: ForestSpec = ForestSpec(), nulls: str = "skip"):
+def forest_pipeline(features: Sequence[str], label: str, spec: ForestSpec = ForestSpec(), nulls: str = "impute"):
     """(impute) -> assemble -> scale (unit stddev, no centring) -> forest.
 
-    ``nulls``: ``"skip"`` drops rows with a NULL feature at assembly (the
-    reference would fail, T12); ``"impute"`` fills them with the column mean.
+    ``nulls``: ``"impute"`` (default) fills a NULL feature with its training
+    mean, so scoring returns every row; ``"error"`` fails on one, as the
+    reference does (T12); ``"skip"`` drops such rows at assembly.
     """
     stages = []
     cols = list(features)
@@ -230,7 +239,7 @@ def grid_search(
     metric: str = METRIC,
     seed: int = SEED,
     parallelism: int = 4,
-    nulls: str = "skip",
+    nulls: str = "impute",
 ):
     """K-fold cross-validated grid search (the reference's 90-point grid by default)."""
     pipeline, forest = forest_pipeline(features, label, ForestSpec(seed=seed), nulls)
@@ -252,10 +261,12 @@ def grid_search(
 
 def cv_report(spark, cv_model, forest, grid) -> DataFrame:
     """One row per grid point with its mean CV metric and whether it is
-    the chosen point (public getters only; the report is bounded by the grid)."""
+    the chosen point: the first best by the metric's own direction (public
+    getters only; the report is bounded by the grid)."""
     rows = []
-    best = max(cv_model.avgMetrics)
-    for params, score in zip(grid, cv_model.avgMetrics):
+    scores = list(cv_model.avgMetrics)
+    best = scores.index(max(scores) if cv_model.getEvaluator().isLargerBetter() else min(scores))
+    for i, (params, score) in enumerate(zip(grid, scores)):
         rows.append(
             (
                 int(params[forest.numTrees]),
@@ -263,7 +274,7 @@ def cv_report(spark, cv_model, forest, grid) -> DataFrame:
                 int(params[forest.minInstancesPerNode]),
                 str(params[forest.featureSubsetStrategy]),
                 float(score),
-                bool(score == best),
+                i == best,
             )
         )
     return spark.createDataFrame(

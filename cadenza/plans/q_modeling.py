@@ -12,8 +12,8 @@ from cadenza.plans.q_association import build_feature_table
 
 LABEL = "num_followers"
 FEATURES = ["p_size", "p_retailprice", "num_tracks", "num_artists", "num_albums", "genre_count"]
-P, A, B = M.HASH_MODULUS, M.HASH_MULTIPLIER, M.HASH_OFFSET
-U_SQL = f"((((pid % {P}) * {A} + {B}) % {P}) / {float(P)})"
+U_SQL = M.key_uniform_sql("pid", M.SPLIT_SALT)
+DRAW_SQL = M.key_uniform_sql("pid", M.SAMPLE_SALT)
 
 # The undersampled classes are chosen from the data: the most frequent label
 # value and the next most frequent (ties by smaller value); the reference
@@ -26,8 +26,8 @@ _CLASSES = {
     "mino": "SELECT v FROM sizes WHERE v <> (SELECT v FROM maj) ORDER BY n DESC, v LIMIT 1",
     "frac": f"""SELECT least(1.0, CAST((SELECT count(*) FROM cut WHERE {LABEL} = (SELECT v FROM mino)) AS DOUBLE)
                 / NULLIF((SELECT count(*) FROM cut WHERE {LABEL} = (SELECT v FROM maj)), 0)) AS f""",
-    "us": f"""SELECT * FROM cut WHERE {LABEL} > (SELECT v FROM maj)
-              OR ({LABEL} = (SELECT v FROM maj) AND {U_SQL} < (SELECT f FROM frac))""",
+    "us": f"""SELECT * FROM cut WHERE {LABEL} IS DISTINCT FROM (SELECT v FROM maj)
+              OR {DRAW_SQL} < (SELECT f FROM frac)""",
 }
 
 
@@ -74,6 +74,26 @@ def undersample_hash(spark, d):
     return M.undersample(cut, LABEL, majority, minority).select("pid", LABEL)
 
 
+@register(
+    "split_class_shares",
+    with_ctes(["ftable"], f"""SELECT CASE WHEN {LABEL} = (SELECT v FROM maj) THEN 'majority'
+              WHEN {LABEL} = (SELECT v FROM mino) THEN 'minority' ELSE 'other' END AS class,
+            count(*) FILTER (WHERE {U_SQL} < 0.8) AS n_train, count(*) FILTER (WHERE {U_SQL} >= 0.8) AS n_test
+        FROM us GROUP BY 1""", _CLASSES),
+    "M2 M4 T11",
+)
+def split_class_shares(spark, d):
+    """Rows of each class in both sets after undersampling (near 80 and 20 percent in every class)."""
+    cut = M.remove_outliers(_feature_table(spark, d), LABEL)
+    majority, minority = _classes(cut)
+    train, test = M.hash_split(M.undersample(cut, LABEL, majority, minority))
+    both = train.withColumn("s", F.lit("train")).unionByName(test.withColumn("s", F.lit("test")))
+    name = F.when(F.col(LABEL) == majority, "majority").when(F.col(LABEL) == minority, "minority").otherwise("other")
+    return both.groupBy(name.alias("class")).agg(
+        F.count_if(F.col("s") == "train").alias("n_train"), F.count_if(F.col("s") == "test").alias("n_test")
+    )
+
+
 @register(
     "log_target",
     with_ctes(["ftable"], f"SELECT pid, {r(f'CASE WHEN {LABEL} > 0 THEN ln({LABEL}) END')} AS {LABEL} FROM ftable"),
@@ -176,15 +196,75 @@ def forest_importances(spark, d):
 def forest_predictions(spark, d):
     import uuid
 
+    from pyspark.ml import PipelineModel
+
     from cadenza.session import ensure_checkpoint_dir
     from cadenza.sources.sinks import save_model
 
     train, test = M.hash_split(_prepared_for_fitting(spark, d))
     train, test = M.with_baseline(train, test, LABEL)
     pipeline, _ = M.forest_pipeline(FEATURES, LABEL)
-    model = pipeline.fit(train)
-    save_model(model, f"{ensure_checkpoint_dir(spark).rstrip('/')}/cadenza-model-{uuid.uuid4().hex}")
-    return M.score(model, test, "pid", LABEL)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cadenza-model-{uuid.uuid4().hex}"
+    save_model(pipeline.fit(train), path)
+    return M.score(PipelineModel.load(path), test, "pid", LABEL)
+
+
+_TEST_ROWS = f"""SELECT pid, {r('y')} AS {LABEL}, {r('mu')} AS baseline_prediction
+        FROM (SELECT pid, CASE WHEN {LABEL} > 0 THEN ln({LABEL}) END AS y FROM us) t,
+             (SELECT avg(CASE WHEN {LABEL} > 0 THEN ln({LABEL}) END) AS mu FROM us WHERE {U_SQL} < 0.8) m
+        WHERE y IS NOT NULL AND {U_SQL} >= 0.8"""
+
+
+@register(
+    "forest_prediction_rows",
+    with_ctes(["ftable"], f"SELECT pid, {LABEL}, baseline_prediction, true AS predicted FROM ({_TEST_ROWS}) x", _CLASSES),
+    "M13 M5 T12",
+)
+def forest_prediction_rows(spark, d):
+    """Every test row is scored, also with NULL features, by the model saved and loaded again."""
+    scored = forest_predictions(spark, d)
+    return scored.select("pid", LABEL, "baseline_prediction", F.col("prediction").isNotNull().alias("predicted"))
+
+
+_MEANS = ", ".join(f"avg({c}) AS m_{c}" for c in FEATURES)
+_SPREADS = ", ".join(f"stddev_samp(coalesce({c}, m_{c})) AS s_{c}" for c in FEATURES)
+_SCALED = ", ".join(f"{r(f'coalesce({c}, m_{c}) / s_{c}')} AS {c}" for c in FEATURES)
+
+
+@register(
+    "scaled_features",
+    with_ctes(["ftable"], f"SELECT pid, {_SCALED} FROM ftable, means, spreads", {
+        "means": f"SELECT {_MEANS} FROM ftable WHERE {U_SQL} < 0.8",
+        "spreads": f"SELECT {_SPREADS} FROM ftable, means WHERE {U_SQL} < 0.8",
+    }),
+    "M7 M8 M9",
+)
+def scaled_features(spark, d):
+    """Imputation and scaling, fitted on the training set, over all rows."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    table = _feature_table(spark, d)
+    train, _ = M.hash_split(table)
+    pipeline, _ = M.forest_pipeline(FEATURES, LABEL)
+    out = Pipeline(stages=pipeline.getStages()[:-1]).fit(train).transform(table)
+    values = vector_to_array("scaled_features")
+    return out.select("pid", *[values[i].alias(c) for i, c in enumerate(FEATURES)])
+
+
+@register(
+    "importances_identity",
+    f"SELECT {len(FEATURES)} AS features, 1.0 AS total, true AS in_range FROM (SELECT count(*) FROM orders) t",
+    "M12",
+)
+def importances_identity(spark, d):
+    """Importances of all features, each from 0 to 1 and 1 in sum."""
+    found = forest_importances(spark, d)
+    return found.agg(
+        F.count("feature").cast("int").alias("features"),
+        F.round(F.sum("importance"), 6).alias("total"),
+        F.bool_and(F.col("importance").between(0, 1)).alias("in_range"),
+    )
 
 
 @register("ablation", None, "M14")

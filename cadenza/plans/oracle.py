@@ -26,8 +26,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "occ": (
         ("heads",),
         f"""SELECT l.l_orderkey AS pid, l.l_linenumber AS pos,
-                  '{TRACK_PREFIX}' || CAST(l.l_partkey AS VARCHAR) AS track_uri,
-                  '{ARTIST_PREFIX}' || CAST(l.l_suppkey AS VARCHAR) AS artist_uri,
+                  '{TRACK_PREFIX}' || CASE WHEN l.l_partkey % {NO_FEATURE_MODULUS} = 0 THEN '-' ELSE '' END
+                    || CAST(l.l_partkey AS VARCHAR) AS track_uri,
+                  '{ARTIST_PREFIX}' || CASE WHEN l.l_suppkey % {NO_CREATOR_MODULUS} = 0 THEN '-' ELSE '' END
+                    || CAST(l.l_suppkey AS VARCHAR) AS artist_uri,
                   l.l_quantity AS duration_ms, h.num_followers,
                   l.l_partkey, l.l_suppkey
            FROM lineitem l JOIN heads h ON h.pid = l.l_orderkey""",
@@ -42,14 +44,14 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         f"""SELECT '{TRACK_PREFIX}' || CAST(p_partkey AS VARCHAR) AS uri, CAST(p_partkey AS VARCHAR) AS id,
                   p_size, p_retailprice
-           FROM part WHERE p_partkey % {NO_FEATURE_MODULUS} <> 0""",
+           FROM part""",
     ),
     "creators": (
         (),
         f"""SELECT list_slice({_GENRES}, 1, CAST(s_suppkey % 6 AS INTEGER)) AS genres,
                   CAST(s_suppkey AS VARCHAR) AS id, s_name AS name,
                   '{ARTIST_PREFIX}' || CAST(s_suppkey AS VARCHAR) AS uri
-           FROM supplier WHERE s_suppkey % {NO_CREATOR_MODULUS} <> 0""",
+           FROM supplier""",
     ),
     "per_order": (
         (),

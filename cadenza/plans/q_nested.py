@@ -140,7 +140,7 @@ def named_value_count_nested(spark, d):
 
 @register(
     "distinct_item_ids",
-    with_ctes(["occ"], "SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS id FROM occ"),
+    with_ctes(["occ"], "SELECT DISTINCT substr(track_uri, 7) AS id FROM occ"),
     "P4 X3 U3",
 )
 def distinct_item_ids(spark, d):
@@ -150,7 +150,7 @@ def distinct_item_ids(spark, d):
 
 @register(
     "uri_to_id",
-    with_ctes(["occ"], "SELECT DISTINCT artist_uri, CAST(l_suppkey AS VARCHAR) AS id FROM occ"),
+    with_ctes(["occ"], "SELECT DISTINCT artist_uri, substr(artist_uri, 8) AS id FROM occ"),
     "X3",
 )
 def uri_to_id_query(spark, d):
@@ -163,7 +163,7 @@ def uri_to_id_query(spark, d):
     with_ctes(["occ"], """SELECT idx // 100 AS batch, idx // 10000 AS file, count(*) AS n_ids,
             string_agg(id, ',' ORDER BY id) AS ids
         FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS idx
-              FROM (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS id FROM occ) u) t
+              FROM (SELECT DISTINCT substr(track_uri, 7) AS id FROM occ) u) t
         GROUP BY 1, 2""", ),
     "C7 O4 X4 T13",
 )

@@ -12,23 +12,23 @@ Mapping (fixed, shared with the oracle):
 collection ``pid``   ``orders.o_orderkey``
 item occurrence      one ``lineitem`` row: ``pos`` = ``l_linenumber``,
                      ``track_uri`` = ``'track:' || l_partkey``,
-                     ``artist_uri`` = ``'artist:' || l_suppkey``,
+                     ``artist_uri`` = ``'artist:' || l_suppkey``; keys that
+                     are multiples of 10 (of 7) get ``'track:-'``
+                     (``'artist:-'``) uris, which no item (creator) has
                      ``duration_ms`` = ``l_quantity``
 ``num_followers``    number of orders of the order's customer
 num_tracks/artists/  count of lines, distinct ``l_suppkey``, distinct
 albums               ``p_brand``
-item features        ``part`` (``p_size``, ``p_retailprice``) without parts
-                     whose key is a multiple of 10 (items without features)
-creators             ``supplier`` without keys that are multiples of 7
-                     (occurrences without a creator row); genres = the first
-                     ``s_suppkey % 6`` names of GENRE_NAMES (0 gives [])
+item features        ``part`` (``p_size``, ``p_retailprice``)
+creators             ``supplier``; genres = the first ``s_suppkey % 6`` names
+                     of GENRE_NAMES (0 gives [])
 collection name      ``o_orderpriority``; collaborative = ``o_orderstatus``
 description          ``documents.text`` where ``doc_id = o_orderkey``, else NULL
 modified_at          ``o_orderdate`` as epoch seconds
 ==================  =====================================================
 
-None of these builders caps, samples or filters rows to save work: the
-multiples-of-10/7 exclusions only create the unmatched left-join rows the
+None of these builders caps, samples or filters rows: all tables are read
+whole. The uris that no row has make the unmatched left-join rows that the
 reference's data has (items with no feature row, creators with no row).
 """
 
@@ -43,10 +43,6 @@ NO_FEATURE_MODULUS = 10
 NO_CREATOR_MODULUS = 7
 TRACK_PREFIX = "track:"
 ARTIST_PREFIX = "artist:"
-# Nested records hold at most this many positions; longer collections are
-# split over several records of the same ``pid`` so no array grows with the
-# data (see ``nested_collections``).
-NESTED_CHUNK = 256
 
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -66,6 +62,12 @@ def _artist_uri(key: Column) -> Column:
     return F.concat(F.lit(ARTIST_PREFIX), key.cast("string"))
 
 
+def _occurrence_uri(key: Column, prefix: str, none_every: int) -> Column:
+    """The uri an occurrence names; for multiples of ``none_every`` one that no row has."""
+    mark = F.when(key % none_every == 0, F.lit("-")).otherwise(F.lit(""))
+    return F.concat(F.lit(prefix), mark, key.cast("string"))
+
+
 def followers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(o_custkey, num_followers): orders per customer (partial aggregation)."""
     return (
@@ -94,8 +96,8 @@ def item_occurrences(spark: SparkSession, sf_dir: str, with_names: bool = False)
     occ = li.select(
         F.col("l_orderkey").alias("pid"),
         F.col("l_linenumber").alias("pos"),
-        _track_uri(F.col("l_partkey")).alias("track_uri"),
-        _artist_uri(F.col("l_suppkey")).alias("artist_uri"),
+        _occurrence_uri(F.col("l_partkey"), TRACK_PREFIX, NO_FEATURE_MODULUS).alias("track_uri"),
+        _occurrence_uri(F.col("l_suppkey"), ARTIST_PREFIX, NO_CREATOR_MODULUS).alias("artist_uri"),
         F.col("l_quantity").alias("duration_ms"),
         "l_partkey",
         "l_suppkey",
@@ -117,7 +119,7 @@ def item_occurrences(spark: SparkSession, sf_dir: str, with_names: bool = False)
 def item_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(uri, id, p_size, p_retailprice): the item feature table."""
     part = table(spark, sf_dir, "part")
-    return part.where(F.col("p_partkey") % NO_FEATURE_MODULUS != 0).select(
+    return part.select(
         _track_uri(F.col("p_partkey")).alias("uri"),
         F.col("p_partkey").cast("string").alias("id"),
         "p_size",
@@ -129,7 +131,7 @@ def creators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(genres, id, name, uri): the creator table with genre arrays."""
     supp = table(spark, sf_dir, "supplier")
     genres = F.array(*[F.lit(g) for g in GENRE_NAMES])
-    return supp.where(F.col("s_suppkey") % NO_CREATOR_MODULUS != 0).select(
+    return supp.select(
         F.slice(genres, F.lit(1), (F.col("s_suppkey") % 6).cast("int")).alias("genres"),
         F.col("s_suppkey").cast("string").alias("id"),
         F.col("s_name").alias("name"),
@@ -179,11 +181,10 @@ def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nested_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Collections in the reference's nested shape: a ``tracks`` array of structs.
 
-    Items are grouped per ``pid`` and position block (at most NESTED_CHUNK
-    positions per record), so array size is bounded even if one collection
-    held a third of all items; the array is sorted on all fields so its order
-    is deterministic. Collections without items get one record with an empty
-    array (the reference's empty ``tracks`` case).
+    One record per ``pid`` with all its items, as in the reference's input;
+    the array is sorted on all fields so its order is deterministic.
+    Collections without items have an empty array (the reference's empty
+    ``tracks`` case).
     """
     occ = item_occurrences(spark, sf_dir, with_names=True)
     track = F.struct(
@@ -195,11 +196,7 @@ def nested_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
         "album_name",
         F.col("duration_ms").cast("long").alias("duration_ms"),
     )
-    chunks = (
-        occ.withColumn("chunk", F.floor((F.col("pos") - 1) / NESTED_CHUNK))
-        .groupBy("pid", "chunk")
-        .agg(F.array_sort(F.collect_list(track)).alias("tracks"))
-    )
+    chunks = occ.groupBy("pid").agg(F.array_sort(F.collect_list(track)).alias("tracks"))
     heads = collections(spark, sf_dir).drop("description")
     return heads.join(chunks, "pid", "left").select(
         "pid",
@@ -217,21 +214,13 @@ def nested_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def playlist_dump(spark: SparkSession, sf_dir: str, collections_per_doc: int = 1000) -> DataFrame:
     """The reference's input document shape: ``info`` + ``playlists`` array.
 
-    One document per block of ``collections_per_doc`` consecutive pids and
-    position block, so a document holds at most ``collections_per_doc``
-    records of at most NESTED_CHUNK items, whatever the data.
+    One document per block of ``collections_per_doc`` consecutive pids.
     """
     nested = nested_collections(spark, sf_dir)
     rec = F.struct(*[c for c in nested.columns])
-    # The record's position block, from its smallest position (arrays are sorted).
-    block = F.coalesce(F.floor((F.get(F.col("tracks"), 0)["pos"] - 1) / NESTED_CHUNK), F.lit(0))
     return (
         nested.withColumn("slice", F.floor(F.col("pid") / collections_per_doc))
-        .groupBy("slice", block.alias("block"))
+        .groupBy("slice")
         .agg(F.array_sort(F.collect_list(rec)).alias("playlists"))
-        .select(
-            F.create_map(F.lit("slice"), F.concat_ws("-", F.col("slice").cast("string"), F.col("block").cast("string")))
-            .alias("info"),
-            "playlists",
-        )
+        .select(F.create_map(F.lit("slice"), F.col("slice").cast("string")).alias("info"), "playlists")
     )

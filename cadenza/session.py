@@ -6,7 +6,10 @@ DataFrames. These helpers exist for tests, the bench and the entry module.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -42,22 +45,37 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+_NO_FOLDER = "set spark.checkpoint.dir to a folder that the driver and all executors share"
+
+
+def _one_machine(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[n]``), which share every folder."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) do we pick a scratch folder.
+    is. Only a local session (one machine) without that setting gets a scratch
+    folder, deleted when Python ends; any other session without it fails.
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # a Connect session has no SparkContext: use the setting as is
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cadenza-ckpt-")
+    except Exception:  # a Connect session has no SparkContext: the setting must be there
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError(_NO_FOLDER) from None
+        return configured
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     if not configured:
+        if not _one_machine(sc.master):
+            raise RuntimeError(_NO_FOLDER)
         configured = tempfile.mkdtemp(prefix="cadenza-ckpt-", dir=os.environ.get("CADENZA_SCRATCH", "/tmp"))
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return configured
 

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.operators.quantiles import percentiles_adaptive
+from cadenza.operators.quantiles import percentiles_long
 
 
 def _bins(df: DataFrame, n: int) -> DataFrame:
@@ -44,12 +44,20 @@ def equal_width_histogram(df: DataFrame, col: str | Column, n: int) -> DataFrame
 
 
 def integer_histogram(df: DataFrame, col: str) -> DataFrame:
-    """Unit bins 0..max; the maximum falls into the last bin [max-1, max]."""
+    """All unit bins of 0..max, empty ones too; the maximum falls into the last bin [max-1, max].
+
+    Values below 0 keep their own bins before those. The list of bins is as
+    long as the maximum, as the edges of the reference's histogram are.
+    """
     x = F.col(col).cast("long")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
     top = vals.select(F.max("x")).scalar()
-    b = F.least(F.col("x"), F.greatest(top - 1, F.lit(0)))
-    return vals.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    last = F.greatest(top - 1, F.lit(0))
+    counts = vals.groupBy(F.least(F.col("x"), last).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    bins = vals.agg(F.max("x").alias("top")).where("top is not null").select(
+        F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("top") - 1, F.lit(0).cast("long")))).alias("bin")
+    )
+    return bins.join(counts, "bin", "full").select("bin", F.coalesce("count", F.lit(0)).alias("count"))
 
 
 def boxplot_summary(df: DataFrame, columns: list[str], whisker: float = 1.5) -> DataFrame:
@@ -58,7 +66,7 @@ def boxplot_summary(df: DataFrame, columns: list[str], whisker: float = 1.5) ->
     Quartiles by linear interpolation (exact); whiskers at the most extreme
     values inside the 1.5 IQR fences; outliers counted outside them.
     """
-    q = percentiles_adaptive(df, [], columns, [0.25, 0.5, 0.75])
+    q = percentiles_long(df, [], columns, [0.25, 0.5, 0.75])
     quart = q.groupBy("feature").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value")).toDF(
         "feature", "q1", "median", "q3"
     )

@@ -253,10 +253,11 @@ def histogram_log1p(spark, d):
 
 @register(
     "histogram_integer",
-    with_ctes(["creators"], """SELECT CAST(least(x, greatest(m - 1, 0)) AS BIGINT) AS bin, count(*) AS count
-        FROM (SELECT CAST(len(genres) AS BIGINT) AS x FROM creators) t,
-             (SELECT max(len(genres)) AS m FROM creators) mm
-        GROUP BY 1"""),
+    with_ctes(["creators"], """SELECT b.bin, count(x) AS count
+        FROM (SELECT CAST(unnest(range(0, greatest((SELECT max(len(genres)) FROM creators), 1))) AS BIGINT) AS bin) b
+             LEFT JOIN (SELECT least(CAST(len(genres) AS BIGINT), greatest(m - 1, 0)) AS x
+                        FROM creators, (SELECT max(len(genres)) AS m FROM creators) mm) t ON t.x = b.bin
+        GROUP BY b.bin"""),
     "D2",
 )
 def histogram_integer(spark, d):

@@ -18,7 +18,7 @@ from cadenza.operators import quality as Q
 from cadenza.operators import rollup as R
 from cadenza.operators import univariate as U
 from cadenza.operators.indexing import with_row_index
-from cadenza.operators.quantiles import percentiles_adaptive, percentiles_long, percentiles_wide
+from cadenza.operators.quantiles import percentiles_long, percentiles_wide
 
 TRACKS = "array<struct<pos:bigint,track_uri:string,artist_uri:string,album_name:string,track_name:string,duration_ms:bigint>>"
 
@@ -114,7 +114,7 @@ def test_undersampling_clamps_fraction(spark):  # T10
     df = spark.createDataFrame(rows, "pid bigint, label double")
     out = M.undersample(df, "label", 1.0, 2.0, key="pid")
     labels = sorted(r.label for r in out.collect())
-    assert labels.count(1.0) == 3 and labels.count(2.0) == 10 and 0.5 not in labels
+    assert labels.count(1.0) == 3 and labels.count(2.0) == 10 and labels.count(0.5) == 1
 
 
 def test_undersampling_without_majority_rows(spark):  # T10, n(majority) = 0
@@ -146,28 +146,35 @@ def _py_percentile(vals, p):
     return vals[lo] if lo == hi else (hi - pos) * vals[lo] + (pos - lo) * vals[hi]
 
 
-@pytest.mark.parametrize("path", ["bucketed", "adaptive-split", "frequency"])
-def test_percentiles_exact_with_a_hot_group(spark, path):
+@pytest.mark.parametrize("buckets,levels", [(64, 2), (16, 1), (4, 3), (2, 1)])
+def test_percentiles_exact_with_a_hot_group(spark, buckets, levels):
     rnd = random.Random(7)
-    # Group 1 holds most rows (the hot popularity level), with many distinct values.
-    rows = [(1, rnd.random() * 100) for _ in range(3000)] + [(g, float(rnd.randint(0, 9))) for g in range(2, 9) for _ in range(30)]
+    # Group 1 holds most rows (the hot popularity level), with many distinct values; a NULL group is one too.
+    rows = [(1, rnd.random() * 100) for _ in range(3000)] + [(g, float(rnd.randint(0, 9))) for g in (None, *range(2, 9)) for _ in range(30)]
     rows += [(9, None)]
     df = spark.createDataFrame(rows, "g int, v double")
     probs = [0.25, 0.5, 0.9]
-    if path == "bucketed":
-        out = percentiles_long(df, ["g"], ["v"], probs, buckets=16)
-    elif path == "adaptive-split":
-        out = percentiles_adaptive(df, ["g"], ["v"], probs, max_distinct=50, buckets=16)
-    else:
-        out = percentiles_adaptive(df, ["g"], ["v"], probs)
+    out = percentiles_long(df, ["g"], ["v"], probs, buckets=buckets, levels=levels)
     got = {(r.g, r.p): r.value for r in out.collect()}
-    for g in range(1, 9):
+    for g in (None, *range(1, 9)):
         vals = [v for gg, v in rows if gg == g and v is not None]
         for p in probs:
             assert got[(g, p)] == pytest.approx(_py_percentile(vals, p), rel=1e-12)
     assert not any(k[0] == 9 for k in got)
 
 
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_percentiles_of_nan_and_null_groups_agree_with_builtin(spark, levels):
+    nan = float("nan")
+    rows = [(1, 1.0), (1, nan), (1, nan), (2, nan), (None, 2.0), (None, 4.0), (None, None), (3, None), (4, -1.0), (4, nan), (4, 0.0)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    for p in (0.0, 0.5, 0.6, 1.0):
+        want = {r.g: r.v for r in percentiles_wide(df, ["g"], ["v"], p, method="builtin").collect()}
+        got = {r.g: r.v for r in percentiles_wide(df, ["g"], ["v"], p, buckets=4, levels=levels).collect()}
+        assert str(sorted(got.items(), key=str)) == str(sorted(want.items(), key=str))
+        assert set(got) == {1, 2, 3, 4, None}
+
+
 def test_percentiles_wide_keeps_all_null_groups(spark):
     df = spark.createDataFrame([(1, 1.0), (1, 3.0), (2, None)], "g int, v double")
     got = {r.g: r.v for r in percentiles_wide(df, ["g"], ["v"]).collect()}
@@ -184,6 +191,9 @@ def test_equal_width_histogram_closes_last_bin(spark):  # D1
 def test_integer_histogram_puts_max_in_last_bin(spark):  # D2
     df = spark.createDataFrame([(x,) for x in [0, 1, 1, 3]], "x int")
     got = {r.bin: r["count"] for r in D.integer_histogram(df, "x").collect()}
+    gap = spark.createDataFrame([(0,), (1,), (6,), (None,)], "x int")
+    assert {r.bin: r["count"] for r in D.integer_histogram(gap, "x").collect()} == {0: 1, 1: 1, 2: 0, 3: 0, 4: 0, 5: 1}
+    assert D.integer_histogram(gap.where("x is null"), "x").count() == 0
     assert got == {0: 1, 1: 2, 2: 1}
 
 
@@ -238,14 +248,14 @@ def test_multiline_document_source(spark, tmp_path):  # S1, P1
     assert [(r.pid, r.track_uri) for r in flat] == [(7, "t:1")]
 
 
-@pytest.mark.parametrize("max_distinct", [0, 5, 1_000_000])
-def test_percentiles_wide_paths_agree_with_builtin(spark, max_distinct):
+@pytest.mark.parametrize("buckets", [2, 8, 64])
+def test_percentiles_wide_paths_agree_with_builtin(spark, buckets):
     rnd = random.Random(11)
     rows = [(1, rnd.random(), float(rnd.randint(0, 3))) for _ in range(400)]
     rows += [(2, None, 1.0), (3, None, None), (4, 2.5, None)]
     df = spark.createDataFrame(rows, "g int, a double, b double")
     want = {r.g: (r.a, r.b) for r in percentiles_wide(df, ["g"], ["a", "b"], 0.5, method="builtin").collect()}
-    got = {r.g: (r.a, r.b) for r in percentiles_wide(df, ["g"], ["a", "b"], 0.5, buckets=8, max_distinct=max_distinct).collect()}
+    got = {r.g: (r.a, r.b) for r in percentiles_wide(df, ["g"], ["a", "b"], 0.5, buckets=buckets).collect()}
     assert set(got) == set(want) == {1, 2, 3, 4}
     for g in want:
         for x, y in zip(got[g], want[g]):
@@ -253,13 +263,62 @@ def test_percentiles_wide_paths_agree_with_builtin(spark, max_distinct):
 
 
 def test_key_split_mixes_consecutive_keys(spark):  # M4, T11
-    df = spark.range(1000).withColumnRenamed("id", "pid")
+    df = spark.range(2000).select(F.col("id").alias("pid")).union(spark.sql("select cast(null as bigint)"))
     train, test = M.hash_split(df)
-    test_keys = sorted(r.pid for r in test.collect())
-    assert 170 <= len(test_keys) <= 230
-    # every block of 20 consecutive keys has both train and test rows
-    assert all(any(k // 20 == b for k in test_keys) for b in range(50))
-    assert train.count() + len(test_keys) == 1000
+    test_keys = sorted(r.pid for r in test.collect() if r.pid is not None)
+    assert 340 <= len(test_keys) <= 460
+    # every block of 200 consecutive keys has its share of test rows
+    assert all(20 <= sum(k // 200 == b for k in test_keys) <= 60 for b in range(10))
+    assert train.count() + test.count() == 2001  # a NULL key is in one set
+
+
+def test_sampling_and_splitting_are_independent(spark):  # M2, M4
+    df = spark.range(40000).select(
+        F.col("id").alias("pid"), F.when(F.col("id") % 10 < 6, 1.0).when(F.col("id") % 10 < 9, 2.0).when(F.col("id") % 100 == 9, None).otherwise(0.5).alias("y")
+    )
+    kept = M.undersample(df, "y", 1.0, 2.0)  # fraction 0.5
+    sizes = {r.y: r["count"] for r in kept.groupBy("y").count().collect()}
+    assert abs(sizes[1.0] / 12000 - 1) < 0.05 and sizes[2.0] == 12000 and sizes[0.5] + sizes[None] == 4000
+    _, test = M.hash_split(kept)
+    shares = {r.y: r["count"] / sizes[r.y] for r in test.groupBy("y").count().collect()}
+    assert all(abs(s - 0.2) < 0.03 for y, s in shares.items() if sizes[y] > 1000)
+
+
+def test_report_marks_the_best_point_by_the_metrics_direction(spark):  # M12
+    df = spark.createDataFrame([(float(i % 7), float(i % 3), float(i % 7) * 2) for i in range(80)], "a double, b double, y double")
+    for metric, pick in (("rmse", min), ("r2", max)):
+        cv, forest, grid = M.grid_search(df, ["a", "b"], "y", (1, 4), (1.0,), (1, 30), ("all",), folds=2, metric=metric)
+        rows = M.cv_report(spark, cv, forest, grid).collect()
+        assert [r.cv_metric for r in rows if r.is_best] == [pick(r.cv_metric for r in rows)]
+
+
+def test_scoring_keeps_rows_with_null_features(spark):  # M13, T12
+    df = spark.createDataFrame([(i, float(i % 5), None if i % 4 == 0 else 1.0, float(i % 5)) for i in range(60)], "pid long, a double, b double, y double")
+    train, test = M.with_baseline(df, df, "y")
+    model = M.forest_pipeline(["a", "b"], "y", M.ForestSpec(num_trees=2))[0].fit(train)
+    assert M.score(model, test, "pid", "y").where("prediction is not null").count() == 60
+
+
+def test_nested_collection_is_one_record_whatever_its_size(spark, tmp_path):  # P2
+    from cadenza.sources import standins as S
+
+    def write(name, sql):
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    write("orders", "select 1L o_orderkey, 7L o_custkey, 'p' o_orderpriority, 'O' o_orderstatus, date'2020-01-01' o_orderdate")
+    write("lineitem", "select 1L l_orderkey, cast(id + 1 as int) l_linenumber, id % 50 l_partkey, id % 10 l_suppkey, 1.0D l_quantity from range(300)")
+    write("part", "select id p_partkey, 'n' p_name, 'b' p_brand, 1 p_size, 1.0D p_retailprice from range(50)")
+    write("supplier", "select id s_suppkey, 'n' s_name from range(10)")
+    write("documents", "select 1L doc_id, 'text' text")
+    rows = S.nested_collections(spark, str(tmp_path)).collect()
+    assert len(rows) == 1 and len(rows[0].tracks) == 300
+
+
+def test_checkpoint_folder_must_be_shared(spark):
+    from cadenza.session import _one_machine
+
+    assert all(map(_one_machine, ("local", "local[4]", "local[*]")))
+    assert not any(map(_one_machine, ("local-cluster[3,2,1024]", "yarn", "spark://host:7077", "k8s://x")))
 
 
 def test_describe_strings_on_a_string_column(spark):  # T8

@@ -5,7 +5,9 @@ All are built-in Spark expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the token separator of the reference's word counts.
@@ -51,4 +53,9 @@ def ms_to_minutes(col: str | Column) -> Column:
 
 def to_double(col: str) -> Column:
     """Numeric harmonisation; bad input gives NULL (T18: ANSI casts raise)."""
-    return F.try_cast(F.col(col), "double") if hasattr(F, "try_cast") else F.expr(f"try_cast(`{col}` as double)")
+    return F.col(col).try_cast("double")
+
+
+def columns_to_double(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """P11 over a list of columns."""
+    return df.withColumns({c: to_double(c) for c in columns})

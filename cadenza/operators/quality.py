@@ -44,12 +44,14 @@ def duplicate_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Q5/Q6: (column, duplicated_values, has_duplicates).
 
     ``duplicated_values`` is the number of distinct values (NULL included)
-    that occur more than once. One scan: every row emits (column, value)
-    pairs, counted per pair with map-side combine (a hot value is combined
-    before the shuffle), then the pairs seen more than once are counted per
-    column.
+    that occur more than once. One scan: every row emits (column, digest of
+    the value) pairs, counted per pair with map-side combine (a hot value is
+    combined before the shuffle), then the pairs seen more than once are
+    counted per column. The 16-byte digest keeps long texts out of the
+    shuffle; NULL has none, so it stays apart.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    digest = lambda c: F.unhex(F.md5(F.col(c).cast("string").cast("binary")))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), digest(c).alias("value")) for c in columns])
     counted = (
         df.select(F.explode(pairs).alias("_p"))
         .groupBy("_p.column", "_p.value")

@@ -180,3 +180,33 @@ def feature_table(audio: DataFrame, main: DataFrame, genres: DataFrame, collecti
     without items are absent, trap T2).
     """
     return audio.join(main, collection, "left").join(genres, collection, "left")
+
+
+def feature_table_one_pass(
+    occurrences: DataFrame,
+    features: DataFrame,
+    creators: DataFrame,
+    feature_cols: Sequence[str],
+    item_col: str = "track_uri",
+    creator_col: str = "artist_uri",
+    album_col: str = "album_name",
+    collection: str = "pid",
+    label: str = "num_followers",
+) -> DataFrame:
+    """C5 straight from the occurrences: one scan and one shuffle by collection.
+
+    Means, counts and the genre count all group by the collection, so both
+    lookups are joined first and one aggregate gives the row. Distinct
+    creators and albums are sets of one collection, which is one record.
+    """
+    cre = creators.select(F.col("uri").alias(creator_col), "genres")
+    rows = join_item_features(occurrences, features, feature_cols, item_col).join(cre, creator_col, "left")
+    distinct = lambda c: F.size(F.collect_set(c)).cast("long")
+    return rows.groupBy(collection).agg(
+        F.avg(label).alias(label),
+        *[F.avg(c).alias(c) for c in feature_cols],
+        F.count(F.lit(1)).alias("num_tracks"),
+        distinct(creator_col).alias("num_artists"),
+        distinct(album_col).alias("num_albums"),
+        F.avg(F.size("genres")).alias("genre_count"),
+    )

@@ -53,7 +53,7 @@ def nested_field_array_size(spark, d):
     "U1 S2",
 )
 def distinct_rows(spark, d):
-    return S.item_occurrences(spark, d).select("track_uri", "artist_uri").distinct()
+    return S.item_occurrences(spark, d, with_label=False).select("track_uri", "artist_uri").distinct()
 
 
 @register(
@@ -154,7 +154,7 @@ def distinct_item_ids(spark, d):
     "X3",
 )
 def uri_to_id_query(spark, d):
-    occ = S.item_occurrences(spark, d).select("artist_uri").distinct()
+    occ = S.item_occurrences(spark, d, with_label=False).select("artist_uri").distinct()
     return occ.select("artist_uri", uri_to_id("artist_uri").alias("id"))
 
 
@@ -168,7 +168,7 @@ def uri_to_id_query(spark, d):
     "C7 O4 X4 T13",
 )
 def id_batches(spark, d):
-    ids = B.distinct_ids(S.item_occurrences(spark, d))
+    ids = B.distinct_ids(S.item_occurrences(spark, d, with_label=False))
     return B.id_batches(ids, batch_size=100, batches_per_file=100)
 
 

@@ -94,7 +94,7 @@ def median_null_and_nan(spark, d):
     "C2 A7",
 )
 def main_features_popularity(spark, d):
-    return R.main_features_by_popularity(S.collections(spark, d))
+    return R.main_features_by_popularity(S.collections(spark, d, description=False))
 
 
 def _genre_sql(count_expr: str, where: str = "") -> str:
@@ -164,8 +164,21 @@ def feature_table(spark, d):
 
 
 def build_feature_table(spark, d):
+    occurrences = S.item_occurrences(spark, d, with_album=True)
+    return R.feature_table_one_pass(occurrences, S.item_features(spark, d), S.creators(spark, d), FEATURES)
+
+
+@register(
+    "feature_table_joined",
+    with_ctes(["ftable"], f"""SELECT pid, {r('num_followers')} AS num_followers, {r('p_size')} AS p_size,
+        {r('p_retailprice')} AS p_retailprice, num_tracks, num_artists, num_albums,
+        {r('genre_count')} AS genre_count FROM ftable"""),
+    "C5 J3",
+)
+def feature_table_joined(spark, d):
+    """The same table from parts made apart, as the reference assembles it from its files."""
     audio = _mean_collection(spark, d)
-    main = S.collections(spark, d).select("pid", "num_tracks", "num_artists", "num_albums")
+    main = S.collections(spark, d, description=False).select("pid", "num_tracks", "num_artists", "num_albums")
     genres = R.genre_count_per_collection(S.item_occurrences(spark, d), S.creators(spark, d)).drop("num_followers")
     return R.feature_table(audio, main, genres)
 

@@ -41,7 +41,7 @@ def frequency_table(spark, d):
     "O3 A1 O1",
 )
 def frequency_top20(spark, d):
-    freq = U.frequency(S.item_occurrences(spark, d), "track_uri")
+    freq = U.frequency(S.item_occurrences(spark, d, with_label=False), "track_uri")
     return U.top_k(freq, 20, "track_uri")
 
 
@@ -52,7 +52,7 @@ def frequency_top20(spark, d):
     "A12",
 )
 def merge_frequencies(spark, d):
-    a = U.word_counts(S.collections(spark, d), "name")
+    a = U.word_counts(S.collections(spark, d, counts=False, description=False), "name")
     b = U.word_counts(S.table(spark, d, "part"), "p_name")
     return U.merge_frequencies([a, b], "word")
 
@@ -64,7 +64,7 @@ def merge_frequencies(spark, d):
     "W1 A1 F9",
 )
 def category_share(spark, d):
-    return U.shares(U.frequency(S.collections(spark, d), "collaborative"))
+    return U.shares(U.frequency(S.collections(spark, d, counts=False, description=False), "collaborative"))
 
 
 @register(
@@ -78,12 +78,12 @@ def term_weights(spark, d):
 
 @register("name_word_count", with_ctes(["colls"], _words_sql("colls", "name")), "X1 A1 O1 T7")
 def name_word_count(spark, d):
-    return U.word_counts(S.collections(spark, d), "name")
+    return U.word_counts(S.collections(spark, d, counts=False, description=False), "name")
 
 
 @register("description_word_count", with_ctes(["colls"], _words_sql("colls", "description")), "X1 A1")
 def description_word_count(spark, d):
-    return U.word_counts(S.collections(spark, d), "description")
+    return U.word_counts(S.collections(spark, d, counts=False), "description")
 
 
 def _describe_sql(source: str, cols: list[str]) -> str:
@@ -101,7 +101,7 @@ def _describe_sql(source: str, cols: list[str]) -> str:
     "X2 A3",
 )
 def name_length_stats(spark, d):
-    lengths = S.collections(spark, d).select(F.length("name").alias("name_length"))
+    lengths = S.collections(spark, d, counts=False, description=False).select(F.length("name").alias("name_length"))
     return U.describe_long(lengths, ["name_length"])
 
 
@@ -112,7 +112,7 @@ def name_length_stats(spark, d):
     "X8 X13 A1 O2 T17",
 )
 def modification_trend_day(spark, d):
-    return _iso(U.date_trend(S.collections(spark, d), "modified_at", "day"))
+    return _iso(U.date_trend(S.collections(spark, d, counts=False, description=False), "modified_at", "day"))
 
 
 def _iso(trend):
@@ -127,7 +127,7 @@ def _iso(trend):
     "A14 X8",
 )
 def modification_trend_month(spark, d):
-    return _iso(U.date_trend(S.collections(spark, d), "modified_at", "month"))
+    return _iso(U.date_trend(S.collections(spark, d, counts=False, description=False), "modified_at", "month"))
 
 
 COMPOSITION = ["num_artists", "num_albums", "num_tracks"]
@@ -141,7 +141,7 @@ COMPOSITION = ["num_artists", "num_albums", "num_tracks"]
     "A2",
 )
 def composition_stats(spark, d):
-    return U.composition_stats(S.collections(spark, d), COMPOSITION)
+    return U.composition_stats(S.collections(spark, d, description=False), COMPOSITION)
 
 
 ITEM_FEATURES = ["p_size", "p_retailprice"]
@@ -166,7 +166,7 @@ QUARTILE_COLS = ["num_tracks", "num_artists", "num_albums", "num_followers", "du
     "D4",
 )
 def describe_quartiles(spark, d):
-    return U.describe_quartiles(S.collections(spark, d), QUARTILE_COLS)
+    return U.describe_quartiles(S.collections(spark, d, description=False), QUARTILE_COLS)
 
 
 @register(
@@ -237,7 +237,7 @@ def _colls_cte_sql() -> str:
     "D1",
 )
 def histogram_equal_width(spark, d):
-    return D.equal_width_histogram(S.collections(spark, d), "num_tracks", 50)
+    return D.equal_width_histogram(S.collections(spark, d, description=False), "num_tracks", 50)
 
 
 @register(
@@ -247,7 +247,7 @@ def histogram_equal_width(spark, d):
     "D1 X10",
 )
 def histogram_log1p(spark, d):
-    colls = S.collections(spark, d)
+    colls = S.collections(spark, d, description=False)
     return D.equal_width_histogram(colls, F.log1p(F.col("num_followers").cast("double")), 30)
 
 
@@ -294,7 +294,7 @@ def boxplot_summary(spark, d):
     "D11",
 )
 def kernel_density(spark, d):
-    return D.kernel_density(S.collections(spark, d), "num_tracks", 50)
+    return D.kernel_density(S.collections(spark, d, description=False), "num_tracks", 50)
 
 
 @register(

@@ -85,12 +85,16 @@ def collection_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def item_occurrences(spark: SparkSession, sf_dir: str, with_names: bool = False) -> DataFrame:
+def item_occurrences(
+    spark: SparkSession, sf_dir: str, with_names: bool = False, with_album: bool = False, with_label: bool = True
+) -> DataFrame:
     """Flat form of ``explode(tracks)`` beside its parents.
 
-    (pid, pos, track_uri, artist_uri, duration_ms, num_followers[, track_name,
-    album_name, artist_name]). Collections without items have no row, as with
-    the reference's inner explode (trap T2).
+    (pid, pos, track_uri, artist_uri, duration_ms[, num_followers][,
+    track_name, album_name, artist_name]). Collections without items have no
+    row, as with the reference's inner explode (trap T2). What a query doesn't
+    ask for isn't joined: the label needs the orders, names need the item and
+    creator tables, the album alone the item table.
     """
     li = table(spark, sf_dir, "lineitem")
     occ = li.select(
@@ -102,7 +106,11 @@ def item_occurrences(spark: SparkSession, sf_dir: str, with_names: bool = False)
         "l_partkey",
         "l_suppkey",
     )
-    occ = occ.join(collection_heads(spark, sf_dir), "pid")
+    if with_label:
+        occ = occ.join(collection_heads(spark, sf_dir), "pid")
+    if with_album:
+        album = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("album_name"))
+        occ = occ.join(album, "l_partkey", "left")
     if with_names:
         part = table(spark, sf_dir, "part").select(
             F.col("p_partkey").alias("l_partkey"),
@@ -139,8 +147,25 @@ def creators(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat collection records, one per ``pid`` (the exploded dump, P1)."""
+def collections(spark: SparkSession, sf_dir: str, counts: bool = True, description: bool = True) -> DataFrame:
+    """Flat collection records, one per ``pid`` (the exploded dump, P1).
+
+    Without ``counts`` the item counts and duration, without ``description``
+    that column are left out, and the tables they need aren't read.
+    """
+    heads = table(spark, sf_dir, "orders").join(followers(spark, sf_dir), "o_custkey").select(
+        F.col("o_orderkey").alias("pid"),
+        F.col("o_orderpriority").alias("name"),
+        F.col("o_orderstatus").alias("collaborative"),
+        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("modified_at"),
+        "num_followers",
+    )
+    order = ["pid", "name", "description", "collaborative", "modified_at", "num_tracks", "num_artists", "num_albums", "duration_ms", "num_followers"]
+    if description:
+        docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pid"), F.col("text").alias("description"))
+        heads = heads.join(docs, "pid", "left")
+    if not counts:
+        return heads.select(*[c for c in order if c in heads.columns])
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
     brands = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     per_order = (
@@ -154,28 +179,9 @@ def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumnRenamed("l_orderkey", "pid")
     )
-    orders = table(spark, sf_dir, "orders")
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pid"), F.col("text").alias("description"))
-    heads = orders.join(followers(spark, sf_dir), "o_custkey").select(
-        F.col("o_orderkey").alias("pid"),
-        F.col("o_orderpriority").alias("name"),
-        F.col("o_orderstatus").alias("collaborative"),
-        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("modified_at"),
-        "num_followers",
-    )
-    out = heads.join(per_order, "pid", "left").join(docs, "pid", "left")
-    return out.select(
-        "pid",
-        "name",
-        "description",
-        "collaborative",
-        "modified_at",
-        F.coalesce("num_tracks", F.lit(0)).alias("num_tracks"),
-        F.coalesce("num_artists", F.lit(0)).alias("num_artists"),
-        F.coalesce("num_albums", F.lit(0)).alias("num_albums"),
-        F.coalesce("duration_ms", F.lit(0.0)).alias("duration_ms"),
-        "num_followers",
-    )
+    out = heads.join(per_order, "pid", "left").fillna(0, ["num_tracks", "num_artists", "num_albums"])
+    out = out.withColumn("duration_ms", F.coalesce("duration_ms", F.lit(0.0)))
+    return out.select(*[c for c in order if c in out.columns])
 
 
 def nested_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +203,7 @@ def nested_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("duration_ms").cast("long").alias("duration_ms"),
     )
     chunks = occ.groupBy("pid").agg(F.array_sort(F.collect_list(track)).alias("tracks"))
-    heads = collections(spark, sf_dir).drop("description")
+    heads = collections(spark, sf_dir, description=False)
     return heads.join(chunks, "pid", "left").select(
         "pid",
         "name",

@@ -13,7 +13,8 @@ one; no words: empty, linked with nothing). Two documents are linked when
    at least d form a run. Depth adapts per region: a run of up to
    ``REGION`` documents at ``FIRST_DEPTH`` makes all of them candidates of
    one another; a larger run makes its first and last document candidates of
-   all, and its documents go on one number deeper.
+   all, unless the shallower run had the same, and its documents go on one
+   number deeper.
 3. Candidates outside the exact size bound go, and those whose 128 hashes
    agree so rarely that the link's chance is below 1e-8.
 4. Links are confirmed on the full sets, made from the whole texts of both.
@@ -107,6 +108,8 @@ def candidates(classes: DataFrame) -> DataFrame:
     number = lambda t, d: F.element_at("signature", t * DEPTH + d + 1)
     tree = lambda t: F.struct(*[F.xxhash64(F.lit(t), *[number(t, i) for i in range(d)]).alias(f"p{d}") for d in range(FIRST_DEPTH, DEPTH + 1)])
     rows = classes.select("rep", F.explode(F.array(*[tree(t) for t in range(TREES)])).alias("p")).select("rep", "p.*")
+    # The ends of the shallower region, whose pairs have been made.
+    rows = rows.withColumn("met_first", F.lit(None).cast("bigint")).withColumn("met_last", F.lit(None).cast("bigint"))
     pairs = None
     for d in range(FIRST_DEPTH, DEPTH + 1):
         key = f"p{d}"
@@ -115,10 +118,12 @@ def candidates(classes: DataFrame) -> DataFrame:
         few = rows.where(F.col("n") <= REGION).groupBy(key).agg(F.array_sort(F.collect_list("rep")).alias("r"))
         few = few.select(F.explode(F.expr("flatten(transform(r, (a, i) -> transform(slice(r, i + 2, size(r)), b -> struct(a, b))))")).alias("e")).select("e.*")
         rows = rows.where(F.col("n") > REGION)
-        ends = rows.select("rep", F.explode(F.array("first", "last")).alias("end")).where("rep <> end").select(F.least("rep", "end").alias("a"), F.greatest("rep", "end").alias("b"))
-        found = few.unionByName(ends)
+        found = few
+        for end in ("first", "last"):
+            new = rows.where((F.col("rep") != F.col(end)) & ~F.col(end).eqNullSafe(F.col(f"met_{end}")))
+            found = found.unionByName(new.select(F.least("rep", end).alias("a"), F.greatest("rep", end).alias("b")))
         pairs = found if pairs is None else pairs.unionByName(found)
-        rows = rows.drop("n", "first", "last", key)
+        rows = rows.drop("n", key, "met_first", "met_last").withColumnsRenamed({"first": "met_first", "last": "met_last"})
         if rows.isEmpty():
             break
     return pairs.distinct()

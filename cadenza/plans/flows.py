@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza import schemas
+from cadenza.functions.scalar import text_length
 from cadenza.operators import association as A
 from cadenza.operators import modeling as M
 from cadenza.operators import nested as N
 from cadenza.operators import quality as Q
 from cadenza.operators import rollup as R
 from cadenza.operators import univariate as U
+from cadenza.session import materialize
 from cadenza.sources import readers as RD
 from cadenza.sources import sinks as SK
 
@@ -63,10 +65,13 @@ def clean(spark: SparkSession, dump_path: str, items_path: str, creators_path: s
 
 
 def quality(spark: SparkSession, dump_path: str, items_path: str, creators_path: str) -> DataFrame:
-    """Q8 over the three inputs: nulls, empty genre arrays, duplicates, value ranges."""
-    colls = load_collections(spark, dump_path)
-    items = load_items(spark, items_path)
-    creators = load_creators(spark, creators_path)
+    """Q8 over the three inputs: nulls, empty genre arrays, duplicates, value ranges.
+
+    Each input is parsed once, into Parquet.
+    """
+    colls = materialize(load_collections(spark, dump_path).drop("tracks"))
+    items = materialize(load_items(spark, items_path))
+    creators = materialize(load_creators(spark, creators_path))
     parts = [
         Q.quality_report("creators", creators, null_cols=["id", "name", "uri"], array_cols=["genres"],
                          dup_cols=["id", "name", "uri"]),
@@ -80,15 +85,18 @@ def quality(spark: SparkSession, dump_path: str, items_path: str, creators_path:
 
 
 def univariate(spark: SparkSession, dump_path: str, items_path: str, creators_path: str, out_dir: str) -> None:
-    """The univariate analyses of collections, creators and item features, as CSV."""
-    colls = load_collections(spark, dump_path)
-    creators = load_creators(spark, creators_path)
-    items = load_items(spark, items_path)
+    """The univariate analyses of collections, creators and item features, as CSV.
+
+    Each input is parsed once, into Parquet; every output reads its columns of that.
+    """
+    colls = materialize(load_collections(spark, dump_path).drop("tracks"))
+    creators = materialize(load_creators(spark, creators_path))
+    items = materialize(load_items(spark, items_path))
     out = {
         "collections/composition": U.composition_stats(colls, ["num_artists", "num_albums", "num_tracks"]),
         "collections/duration": U.describe_strings(colls, "duration_ms"),
         "collections/name_words": U.word_counts(colls, "name").orderBy(F.desc("count"), "word"),
-        "collections/name_length": U.describe_strings(colls.select(F.length("name").alias("name_length")),
+        "collections/name_length": U.describe_strings(colls.select(text_length("name").alias("name_length")),
                                                       "name_length"),
         "collections/modification_trend": U.date_trend(colls, "modified_at", "day"),
         "collections/followers": U.describe_strings(colls, "num_followers"),
@@ -131,8 +139,8 @@ def collect_features(
     SK.write_parquet(occurrences(colls), f"{out_dir}/_work/occurrences")
     colls = spark.read.parquet(f"{out_dir}/_work/collections")
     occ = spark.read.parquet(f"{out_dir}/_work/occurrences")
-    items = load_items(spark, items_path)
-    creators = load_creators(spark, creators_path)
+    items = materialize(load_items(spark, items_path))
+    creators = materialize(load_creators(spark, creators_path))
     for stat in ("mean", "median"):
         agg = R.item_feature_rollup(occ.select("pid", LABEL, "track_uri"), items, AUDIO_FEATURES, stat, "popularity")
         SK.write_csv(agg, f"{out_dir}/aggregated_audio_{stat}")

@@ -66,7 +66,7 @@ def outlier_cut(spark, d):
 @register(
     "undersample_hash",
     with_ctes(["ftable"], f"SELECT pid, {r(LABEL)} AS {LABEL} FROM us", _CLASSES),
-    "M2 F5 U2 T10",
+    "M2 F5 T10",
 )
 def undersample_hash(spark, d):
     cut = M.remove_outliers(_feature_table(spark, d), LABEL)

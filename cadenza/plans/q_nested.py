@@ -20,7 +20,7 @@ KEPT_FIELDS = ["album_name", "artist_uri", "track_name", "track_uri"]
     "flatten_tracks",
     with_ctes(["occn"], """SELECT pid, num_followers, CAST(pos AS BIGINT) AS pos, track_uri, track_name, artist_uri,
         artist_name, album_name, CAST(duration_ms AS BIGINT) AS duration_ms FROM occn"""),
-    "S1 P1 P2 P3 P7 T2",
+    "P1 P2 P3 P7 T2",
 )
 def flatten_tracks(spark, d):
     dump = S.playlist_dump(spark, d)
@@ -178,7 +178,7 @@ def id_batches(spark, d):
               CAST(value AS DOUBLE) AS value
        FROM events
        WHERE TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) IS NOT NULL AND value IS NOT NULL""",
-    "K6 P10 P11 F6 F8 X12 T18",
+    "P10 F6 F8 X12 T18",
 )
 def cast_and_drop_null_records(spark, d):
     from cadenza.sources.readers import conform_json_text

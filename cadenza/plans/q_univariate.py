@@ -7,6 +7,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from cadenza.functions.scalar import log1p, text_length
 from cadenza.operators import distribution as D
 from cadenza.operators import univariate as U
 from cadenza.plans.catalog import register
@@ -101,7 +102,7 @@ def _describe_sql(source: str, cols: list[str]) -> str:
     "X2 A3",
 )
 def name_length_stats(spark, d):
-    lengths = S.collections(spark, d, counts=False, description=False).select(F.length("name").alias("name_length"))
+    lengths = S.collections(spark, d, counts=False, description=False).select(text_length("name").alias("name_length"))
     return U.describe_long(lengths, ["name_length"])
 
 
@@ -248,7 +249,7 @@ def histogram_equal_width(spark, d):
 )
 def histogram_log1p(spark, d):
     colls = S.collections(spark, d, description=False)
-    return D.equal_width_histogram(colls, F.log1p(F.col("num_followers").cast("double")), 30)
+    return D.equal_width_histogram(colls, log1p(F.col("num_followers").cast("double")), 30)
 
 
 @register(

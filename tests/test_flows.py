@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cadenza.operators import modeling as M
 from cadenza.plans import flows
 
 
@@ -70,6 +71,8 @@ def test_flows_end_to_end(spark, inputs, tmp_path):
     assert spark.read.parquet(f"{out}/feat/correlations").count() == len(flows.MODEL_FEATURES)
 
     grid = dict(num_trees=(4,), subsampling=(1.0,), min_instances=(1,), strategies=("all",), folds=2)
-    metrics = flows.model(spark, table.fillna(0.0), f"{out}/model", remove_outliers=False, undersampling=False, grid=grid)
+    metrics = flows.model(spark, table, f"{out}/model", grid=grid)  # all preparations, NULL features as they are
     assert metrics.count() == 4
-    assert spark.read.csv(f"{out}/model/predictions/test").count() > 0
+    prepared = spark.read.parquet(f"{out}/model/_work/prepared")
+    _, test = M.hash_split(prepared)
+    assert spark.read.csv(f"{out}/model/predictions/test").count() == test.count() > 0

@@ -106,7 +106,7 @@ def log_target(spark, d):
 @register(
     "hash_split",
     with_ctes(["ftable"], f"SELECT pid, CASE WHEN {U_SQL} < 0.8 THEN 'train' ELSE 'test' END AS split FROM ftable"),
-    "M4 T11",
+    "M4 U2 T11",
 )
 def hash_split(spark, d):
     train, test = M.hash_split(_feature_table(spark, d))

@@ -50,7 +50,7 @@ def frequency_top20(spark, d):
     "merge_frequencies",
     with_ctes(["colls"], f"""SELECT word, CAST(sum(count) AS BIGINT) AS count FROM (
         {_words_sql('colls', 'name')} UNION ALL {_words_sql('part', 'p_name')}) t GROUP BY word"""),
-    "A12",
+    "A12 U2",
 )
 def merge_frequencies(spark, d):
     a = U.word_counts(S.collections(spark, d, counts=False, description=False), "name")

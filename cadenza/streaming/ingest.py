@@ -13,21 +13,19 @@ schedulers; a processing-time trigger keeps it running.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def _merge_batch(target: str, key: str):
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Repeats inside the batch first (one row per key), then keys already stored.
-        fresh = batch.dropDuplicates([key])
-        try:
-            stored = spark.read.parquet(target).select(key)
-            fresh = fresh.join(stored, key, "left_anti")
-        except Exception as e:  # first batch: the table does not exist yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        fresh.write.mode("append").parquet(target)
+        # Repeats inside the batch first (the largest row per key, whatever the order), then keys already stored.
+        rest = [c for c in batch.columns if c != key]
+        row = F.struct(*rest)
+        fresh = batch.groupBy(key).agg(F.max(row).alias("_row")).select(key, "_row.*").select(*batch.columns)
+        stored = spark.read.schema(batch.schema).parquet(target).select(key)
+        fresh.join(stored, key, "left_anti").write.mode("append").parquet(target)
 
     return merge
 
@@ -43,6 +41,8 @@ def ingest_json_batches(
     max_files_per_trigger: int | None = None,
 ):
     """Start (and, with ``available_now``, finish) the ingestion stream; returns the query."""
+    # An empty table to begin with, so every batch finds one.
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(target)
     reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -38,9 +38,9 @@ from cadenza.llm import kernels as K
 from cadenza.llm.common import byte_buffer, filter_blocks, labelled_sample, map_blocks, remainder, texts
 
 #: Labelled texts of each label that the network is trained on.
-PER_LABEL = 1600
+PER_LABEL = 1000
 #: Of these, texts of each label that training begins with, and those it adds at each of two looks at the rest: the worst scored.
-BEGIN, ADD = 600, 150
+BEGIN, ADD = 500, 150
 WINDOW, STRIDE = 32, 16
 HIDDEN, EMBEDDED, ATTENTION = 8, 4, 8
 #: Hashed places of words, character n-grams and learned trigrams.
@@ -81,7 +81,7 @@ class Words:
         at = np.cumsum(wide) - wide
         marked = np.full(int(wide.sum()), 1, np.uint32)
         marked[K.ranges(at + 1, lengths)] = low[K.ranges(starts[first], lengths)]
-        grams, trigrams, trigram_at = [], np.zeros(0, np.int64), np.zeros(len(first) + 1, np.int64)
+        grams, trigrams, trigram_at = [], np.zeros(0, np.int16), np.zeros(len(first) + 1, np.int64)
         counts = np.zeros(len(first), np.int64)
         h = np.zeros(len(marked), np.uint32)
         for size in (1, 2, 3, 4, 5):
@@ -94,10 +94,10 @@ class Words:
                 grams.append((np.repeat(np.arange(len(first)), n), mixed >> np.uint32(32 - CHAR_BITS)))
                 counts += n
                 if size == 3:
-                    trigrams, trigram_at = (mixed >> np.uint32(32 - TRIGRAM_BITS)).astype(np.int64), np.append(0, np.cumsum(n))
+                    trigrams, trigram_at = (mixed >> np.uint32(32 - TRIGRAM_BITS)).astype(np.int16), np.append(0, np.cumsum(n))
         word = np.concatenate([g[0] for g in grams])
         order = np.argsort(word, kind="stable")
-        return cls(which, rows, hashes, lengths, np.concatenate([g[1] for g in grams])[order].astype(np.int64), np.append(0, np.cumsum(counts)), trigrams, trigram_at)
+        return cls(which.astype(np.int32), rows, hashes, lengths, np.concatenate([g[1] for g in grams])[order].astype(np.int32), np.append(0, np.cumsum(counts)), trigrams, trigram_at)
 
     @property
     def places(self) -> np.ndarray:
@@ -286,6 +286,7 @@ def train(rows: list[tuple[str, int]], share: float) -> Model:
         less = np.array([[1 - y], [y]], np.float32)
         w, c = seen_words[:, words.places] - less, seen_chars[:, words.grams] - less
         fixed.append(fixed_inputs(words, _evidence(w[1], w[0], own_share), _evidence(c[1], c[0], own_share)))
+        words.grams = words.gram_at = words.hashes = words.lengths = np.zeros(0, np.int64)  # their use ends here
     kept = [i for i, w in enumerate(texts_) if len(w.which)]
     if not kept:
         return Model(share)
@@ -305,17 +306,23 @@ def train(rows: list[tuple[str, int]], share: float) -> Model:
     trigrams = np.concatenate([texts_[i].trigrams for i in kept])
     sizes = np.concatenate([np.diff(texts_[i].trigram_at) for i in kept])
     trigram_at = np.append(0, np.cumsum(sizes))
+    del texts_, fixed
     y = labels[kept]
     weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
     begins = np.searchsorted(of, np.arange(len(kept)))
 
     def all_inputs() -> np.ndarray:
-        mean = np.add.reduceat(net.p["trigrams"][trigrams], trigram_at[:-1], axis=0) / sizes[:, None]
-        return np.hstack([given, mean]).astype(np.float32)
+        out = np.zeros((len(given), INPUTS), np.float32)
+        out[:, :FIXED_INPUTS] = given
+        for a in range(0, len(given), 1 << 16):
+            b = min(a + (1 << 16), len(given))
+            own = trigrams[trigram_at[a] : trigram_at[b]]
+            out[a:b, FIXED_INPUTS:] = np.add.reduceat(net.p["trigrams"][own], trigram_at[a:b] - trigram_at[a], axis=0) / sizes[a:b, None]
+        return out
 
     def all_logits() -> np.ndarray:
         projected = net.project(all_inputs())
-        return np.concatenate([net.forward(projected, *_steps(which, first[a : a + 8192], length[a : a + 8192]))[0] for a in range(0, len(first), 8192)])
+        return np.concatenate([net.forward(projected, *_steps(which, first[a : a + 2048], length[a : a + 2048]))[0] for a in range(0, len(first), 2048)])
 
     def top(values: np.ndarray) -> np.ndarray:
         high = np.repeat(np.maximum.reduceat(values, begins), np.diff(np.append(begins, len(values))))

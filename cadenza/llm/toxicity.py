@@ -38,9 +38,9 @@ from cadenza.llm import kernels as K
 from cadenza.llm.common import byte_buffer, filter_blocks, labelled_sample, map_blocks, remainder, texts
 
 #: Labelled texts of each label that the network is trained on.
-PER_LABEL = 1000
+PER_LABEL = 1600
 #: Of these, texts of each label that training begins with, and those it adds at each of two looks at the rest: the worst scored.
-BEGIN, ADD = 500, 150
+BEGIN, ADD = 600, 150
 WINDOW, STRIDE = 32, 16
 HIDDEN, EMBEDDED, ATTENTION = 8, 4, 8
 #: Hashed places of words, character n-grams and learned trigrams.
@@ -321,8 +321,13 @@ def train(rows: list[tuple[str, int]], share: float) -> Model:
         return out
 
     def all_logits() -> np.ndarray:
-        projected = net.project(all_inputs())
-        return np.concatenate([net.forward(projected, *_steps(which, first[a : a + 2048], length[a : a + 2048]))[0] for a in range(0, len(first), 2048)])
+        inputs, out = all_inputs(), []
+        for a in range(0, len(first), 2048):
+            # These windows are of neighbouring texts, so their inputs stand together.
+            index, mask = _steps(which, first[a : a + 2048], length[a : a + 2048])
+            low = index.min()
+            out.append(net.forward(net.project(inputs[low : index.max() + 1]), index - low, mask)[0])
+        return np.concatenate(out)
 
     def top(values: np.ndarray) -> np.ndarray:
         high = np.repeat(np.maximum.reduceat(values, begins), np.diff(np.append(begins, len(values))))

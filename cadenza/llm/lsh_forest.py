@@ -14,16 +14,23 @@ one; no words: empty, linked with nothing). Two documents are linked when
    ``REGION`` documents at ``FIRST_DEPTH`` makes all of them candidates of
    one another; a larger run makes its first and last document candidates of
    all, unless the shallower run had the same, and its documents go on one
-   number deeper.
+   number deeper. The document whose prefixes recur most in a larger run at
+   ``FIRST_DEPTH``, its pivot, is a candidate of all too.
 3. Candidates outside the exact size bound go, and those whose 128 hashes
    agree so rarely that the link's chance is below 1e-8.
 4. Links are confirmed on the full sets, made from the whole texts of both.
    Rounds confirm first what joins a document to the smallest candidate
    component; pairs inside one component need no more proof. Rounds take four
    times as many pairs per component each time, until none is open.
+5. In larger runs, further pivots are taken from the documents that no pivot
+   has joined, as long as that finds links. Then all pairs of a run at
+   ``FIRST_DEPTH`` that lie in different components are compared, in blocks of
+   ``BLOCK`` documents, and confirmed in the same rounds.
 
-Nothing is capped: each round's rest goes to the next. A pair of similarity
-0.8 in small regions is missed with a chance of (1 - 0.8 ** 3) ** 16, about 1e-5.
+Nothing is capped: each round's rest goes to the next, and every pair of a run
+at ``FIRST_DEPTH`` of any size is confirmed, refuted or inside one component.
+A pair of similarity 0.8 is missed with a chance of (1 - 0.8 ** 3) ** 16, about
+1e-5.
 
 Defined results: null text as empty; repeated rows each get their row, with
 the same ids; equal doc_ids count as one document; a null doc_id is linked with
@@ -39,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm import kernels as K
-from cadenza.llm.common import byte_buffer, map_blocks, texts
+from cadenza.llm.common import byte_buffer, map_blocks, ship, texts
 from cadenza.llm.components import connected_components
 from cadenza.session import materialize
 
@@ -49,6 +56,8 @@ TREES, DEPTH, FIRST_DEPTH = 16, 8, 3
 HASHES = TREES * DEPTH
 #: Largest run whose documents are all compared with one another.
 REGION = 16
+#: Documents outside the largest component of a larger run that one task compares with others.
+BLOCK = 256
 
 _rng = np.random.default_rng(77)
 _A = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -103,14 +112,18 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
     return map_blocks(texts(docs), block, SIGNED)
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (a < b) of class representatives that share a region of some tree."""
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of class representatives that share a region of some tree, and the rows of the larger runs.
+
+    Those are ``run, rep, score``: a row per document of a run of over ``REGION``
+    at ``FIRST_DEPTH``; the score sums the sizes of all larger runs it is in.
+    """
     number = lambda t, d: F.element_at("signature", t * DEPTH + d + 1)
     tree = lambda t: F.struct(*[F.xxhash64(F.lit(t), *[number(t, i) for i in range(d)]).alias(f"p{d}") for d in range(FIRST_DEPTH, DEPTH + 1)])
     rows = classes.select("rep", F.explode(F.array(*[tree(t) for t in range(TREES)])).alias("p")).select("rep", "p.*")
     # The ends of the shallower region, whose pairs have been made.
     rows = rows.withColumn("met_first", F.lit(None).cast("bigint")).withColumn("met_last", F.lit(None).cast("bigint"))
-    pairs = None
+    pairs, large, sizes = None, None, None
     for d in range(FIRST_DEPTH, DEPTH + 1):
         key = f"p{d}"
         runs = rows.groupBy(key).agg(F.count("*").alias("n"), F.min("rep").alias("first"), F.max("rep").alias("last")).where("n > 1")
@@ -118,6 +131,8 @@ def candidates(classes: DataFrame) -> DataFrame:
         few = rows.where(F.col("n") <= REGION).groupBy(key).agg(F.array_sort(F.collect_list("rep")).alias("r"))
         few = few.select(F.explode(F.expr("flatten(transform(r, (a, i) -> transform(slice(r, i + 2, size(r)), b -> struct(a, b))))")).alias("e")).select("e.*")
         rows = rows.where(F.col("n") > REGION)
+        large = rows.select(F.col(key).alias("run"), "rep") if large is None else large
+        sizes = rows.select("rep", "n") if sizes is None else sizes.unionByName(rows.select("rep", "n"))
         found = few
         for end in ("first", "last"):
             new = rows.where((F.col("rep") != F.col(end)) & ~F.col(end).eqNullSafe(F.col(f"met_{end}")))
@@ -126,23 +141,80 @@ def candidates(classes: DataFrame) -> DataFrame:
         rows = rows.drop("n", key, "met_first", "met_last").withColumnsRenamed({"first": "met_first", "last": "met_last"})
         if rows.isEmpty():
             break
-    return pairs.distinct()
+    large = materialize(large.join(sizes.groupBy("rep").agg(F.sum("n").alias("score")), "rep"))
+    return pairs.unionByName(pivot_pairs(large)).distinct(), large
+
+
+def pivot_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a < b) of each run's row of highest score with its other rows."""
+    pivots = materialize(rows.groupBy("run").agg(F.max(F.struct("score", "rep"))["rep"].alias("pivot"), F.count("*").alias("n")).where("n > 1").select("run", "pivot"))
+    both = rows.join(pivots, "run").where("rep <> pivot")
+    return both.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
 
 
 def _agreement() -> F.Column:
     return F.expr("aggregate(zip_with(sa, sb, (x, y) -> if(x = y, 1, 0)), 0, (n, x) -> n + x)")
 
 
+def _least_agreement(percent: int) -> int:
+    j = percent / 100
+    return int(HASHES * j - 6 * (HASHES * j * (1 - j)) ** 0.5)
+
+
 def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs within the size bound whose signatures agree as often as a link's would."""
-    j = percent / 100
-    least = int(HASHES * j - 6 * (HASHES * j * (1 - j)) ** 0.5)
+    least = _least_agreement(percent)
     side = lambda x: classes.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("signature").alias(f"s{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     both = both.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     return both.where(_agreement() >= least).select("a", "b")
 
 
+def unjoined(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """The rows of each run outside the component of its pivot."""
+    rows = _label(rows, joined, "rep", "c")
+    pivots = materialize(rows.groupBy("run").agg(F.max(F.struct("score", "rep", "c"))["c"].alias("pc")))
+    return rows.join(pivots, "run").where("c <> pc").select("run", "rep", "score")
+
+
+def cross_pairs(large: DataFrame, joined: DataFrame | None, classes: DataFrame, percent: int) -> DataFrame | None:
+    """Plausible pairs (a < b) of the larger runs that lie in different components (none: no such run).
+
+    The rows outside a run's largest component are dealt into m blocks of about
+    ``BLOCK``, those of the largest component into further ones. Each of the m
+    blocks meets itself and every other block in a group of its own.
+    """
+    rows = materialize(_label(large.select("run", "rep"), joined, "rep", "c"))
+    parts = rows.groupBy("run", "c").agg(F.count("*").alias("n"))
+    runs = parts.groupBy("run").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    runs = materialize(runs.where("n > n_main").select("run", "main", blocks(F.col("n") - F.col("n_main")).alias("m"), blocks(F.col("n_main")).alias("m_main")))
+    if runs.isEmpty():
+        return None
+    dealt = lambda m: F.pmod(F.xxhash64("rep"), m).cast("int")
+    rows = rows.join(runs, "run").withColumn("k", F.when(F.col("c") == F.col("main"), F.col("m") + dealt(F.col("m_main"))).otherwise(dealt(F.col("m"))))
+    meets = F.expr("transform(sequence(0, if(k < m, m + m_main, m) - 1), x -> struct(least(k, x) as i, greatest(k, x) as j))")
+    rows = rows.join(classes.select("rep", "n_shingles", "signature"), "rep").select("run", "rep", "c", "k", "n_shingles", "signature", F.explode(meets).alias("at"))
+    least = _least_agreement(percent)
+
+    def compare(group: pa.Table) -> pa.Table:
+        k, i, j = (group.column(x).to_numpy() for x in ("k", "i", "j"))
+        rep, c, n = (group.column(x).to_numpy() for x in ("rep", "c", "n_shingles"))
+        sig = group.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, HASHES)
+        first, second = np.flatnonzero(k == i), np.flatnonzero(k == j)
+        pairs = [np.zeros((0, 2), np.int64)]
+        for at, x in enumerate(first.tolist()):
+            others = second if i[0] != j[0] else second[at + 1 :]
+            others = others[(c[others] != c[x]) & (100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x]))]
+            others = others[(sig[others] == sig[x]).sum(axis=1) >= least]
+            pairs.append(np.stack([np.full(len(others), rep[x]), rep[others]], axis=1))
+        pairs = np.sort(np.concatenate(pairs), axis=1)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    ship(large.sparkSession)
+    return rows.select("run", "rep", "c", "k", "n_shingles", "signature", "at.*").groupBy("run", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
+
+
 def confirm(pairs: DataFrame, wanted: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough; ``wanted`` has the texts by doc_id."""
     side = lambda x: wanted.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}"))
@@ -164,17 +236,9 @@ def confirm(pairs: DataFrame, wanted: DataFrame, size: int, percent: int) -> Dat
     return map_blocks(both, block, "a bigint, b bigint", text="tb")
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per document."""
-    base = materialize(signed(docs, size))
-    classes = base.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min_by("n_shingles", "doc_id").alias("n_shingles"), F.min_by("signature", "doc_id").alias("signature"))
-    classes = materialize(classes.where("rep is not null"))
-    open_ = materialize(plausible(candidates(classes), classes, percent))
-    ends = open_.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    owner = classes.select(F.col("rep").alias("doc_id")).join(ends, "doc_id")
-    # One text per representative, also where a row is repeated.
-    wanted = materialize(texts(docs).join(owner.hint("shuffle_hash"), "doc_id").dropDuplicates(["doc_id"]))
-    joined, links, take = None, None, 1
+def linked(open_: DataFrame, links: DataFrame | None, joined: DataFrame | None, wanted: DataFrame, size: int, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Links and components after all of ``open_`` are confirmed, refuted or inside one component."""
+    take = 1
     while not open_.isEmpty():
         open_ = open_.withColumn("ca", F.col("a")).withColumn("cb", F.col("b")) if joined is None else _labelled(open_.select("a", "b"), joined)
         open_ = materialize(open_.where("ca <> cb"))
@@ -185,6 +249,35 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
         open_ = open_.select("a", "b").join(chosen, ["a", "b"], "left_anti")
         joined = materialize(connected_components(links))
         take *= 4
+    return links, joined
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per document."""
+    base = materialize(signed(docs, size))
+    classes = base.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min_by("n_shingles", "doc_id").alias("n_shingles"), F.min_by("signature", "doc_id").alias("signature"))
+    classes = materialize(classes.where("rep is not null"))
+    pairs, large = candidates(classes)
+    open_ = materialize(plausible(pairs, classes, percent))
+    ends = open_.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    owner = classes.select(F.col("rep").alias("doc_id")).join(ends, "doc_id")
+    # One text per representative, also where a row is repeated.
+    wanted = materialize(texts(docs).join(owner.hint("shuffle_hash"), "doc_id").dropDuplicates(["doc_id"]))
+    links, joined = linked(open_, None, None, wanted, size, percent)
+    tried, rest, more = open_, large, joined is not None
+    while more:
+        rest = materialize(unjoined(rest, joined))
+        open_ = materialize(plausible(pivot_pairs(rest).distinct(), classes, percent).join(tried, ["a", "b"], "left_anti"))
+        before = links.count()
+        links, joined = linked(open_, links, joined, _texts_of(docs, open_), size, percent)
+        # Further pivots only save comparisons, so they end where they find little.
+        more = 10 * (links.count() - before) > open_.count()
+        tried = tried.unionByName(open_)
+    open_ = cross_pairs(large, joined, classes, percent)
+    if open_ is not None:
+        open_ = materialize(open_.join(tried, ["a", "b"], "left_anti"))
+        if not open_.isEmpty():
+            links, joined = linked(open_, links, joined, _texts_of(docs, open_), size, percent)
     out = base.select("doc_id", "n_shingles", "set_key")
     label = classes.select("set_key", F.col("rep"))
     if joined is None:
@@ -197,11 +290,22 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One text per end of ``pairs``; few ends are broadcast, so the texts stay where they are."""
+    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    return materialize(texts(docs).join(ends, "doc_id").dropDuplicates(["doc_id"]))
+
+
+def _label(rows: DataFrame, joined: DataFrame | None, x: str, c: str) -> DataFrame:
+    """``rows`` with the component of the representative ``x`` as ``c``."""
+    if joined is None:
+        return rows.withColumn(c, F.col(x))
+    own = joined.select(F.col("node").alias(x), F.col("component").alias(c))
+    return rows.join(own, x, "left").withColumn(c, F.coalesce(c, x))
+
+
 def _labelled(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    for x in ("a", "b"):
-        own = joined.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
-        pairs = pairs.join(own, x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
-    return pairs
+    return _label(_label(pairs, joined, "a", "ca"), joined, "b", "cb")
 
 
 def deduplicate(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:

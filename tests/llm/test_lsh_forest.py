@@ -66,3 +66,37 @@ def test_large_groups_and_odd_rows(spark):
 
 def test_empty_table(spark):
     assert lsh_forest.near_duplicates(documents(spark, [])).count() == 0
+
+
+def edited(rng, words, n, mark):
+    """``words`` with n of them changed, far from one another."""
+    out = list(words)
+    for k in rng.sample(range(0, len(words) - 4, 5), n):
+        out[k + 2] = f"{mark}_{k}"
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("n", [300, 2000])
+def test_copies_around_an_original_of_middle_id(spark, n):
+    """The links lead to the original only (about 0.82; between copies about 0.67)."""
+    rng = random.Random(n)
+    base = [f"w{i}" for i in range(203)]
+    texts = [edited(rng, base, 5, f"z{i}") for i in range(n)]
+    texts.insert(n // 2, " ".join(base))
+    assert brute.near_duplicates([(0, " ".join(base)), (1, texts[0])], 4, 80)[1][1] == 0
+    got = result(lsh_forest.near_duplicates(documents(spark, list(enumerate(texts))), 4, 80))
+    assert {c for _, c, _ in got.values()} == {0} and len(got) == n + 1
+
+
+def test_links_inside_large_runs_without_a_center(spark, monkeypatch):
+    """Texts of one frame (about 0.67 alike) stay in large runs; each has one partner of about 0.82."""
+    monkeypatch.setattr(lsh_forest, "BLOCK", 20)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(203)]
+    rows = []
+    for i in range(120):
+        own = edited(rng, base, 5, f"z{i}").split(" ")
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, edited(rng, own, 5, f"y{i}"))]
+    rng.shuffle(rows)
+    rows = [(7 * k, t) for k, (_, t) in enumerate(rows)]
+    assert result(lsh_forest.near_duplicates(documents(spark, rows), 4, 80)) == brute.near_duplicates(rows, 4, 80)

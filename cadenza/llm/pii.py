@@ -51,6 +51,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _RUN = re.compile(r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9])+")
 _GROUP = re.compile(r"[0-9]+")
 _SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}){1,4}", re.IGNORECASE | re.ASCII)
+_AT = re.compile(r"at[)\]]", re.IGNORECASE | re.ASCII)
 
 Span = tuple[str, int, int]
 
@@ -64,6 +65,16 @@ def _digits(text: str) -> str:
     return "".join(_GROUP.findall(text))
 
 
+def _count_digits(text: str, a: int, b: int, stop: int) -> int:
+    """The digits of a span, or ``stop`` or more once there are so many."""
+    n = 0
+    for m in _GROUP.finditer(text, a, b):
+        n += m.end() - m.start()
+        if n >= stop:
+            break
+    return n
+
+
 def base_matches(text: str) -> list[tuple[str, int, int, bool]]:
     """All matches of the base patterns with whether they pass their check."""
     out = []
@@ -86,7 +97,7 @@ def base_matches(text: str) -> list[tuple[str, int, int, bool]]:
         d = _digits(m[0]) if m.end() - m.start() <= 64 else ""
         out.append(("card", *m.span(), 16 <= len(d) <= 19 and luhn(d)))
     for m in _PHONE.finditer(text):
-        out.append(("phone", *m.span(), m.end() - m.start() < 4096 and 8 <= len(_digits(m[0])) <= 15))
+        out.append(("phone", *m.span(), 8 <= _count_digits(text, *m.span(), 16) <= 15))
     return out
 
 
@@ -244,7 +255,7 @@ def all_spans(text: str, w: np.ndarray) -> list[Span]:
     """Base spans and those that the field adds, by kind as listed, then start."""
     matches = base_matches(text)
     base = [(k, a, b) for k, a, b, ok in matches if ok]
-    if not matches and not ("at)" in text or "at]" in text or "AT" in text) and not _RUN.search(text):
+    if not matches and not ((")" in text or "]" in text) and _AT.search(text)) and not _RUN.search(text):
         return []
     lattice = Lattice(text, matches)
     if not len(lattice.spans):

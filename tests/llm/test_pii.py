@@ -87,3 +87,11 @@ def test_training_moves_to_labels():
     likelihood = lambda v: sum(np.log(np.clip(x.marginals(x.scores(v))[x.label == 1], 1e-12, 1)).sum() for x in (pii.Lattice(t, pii.base_matches(t)) for t in texts))
     assert likelihood(w) > likelihood(pii.prior())
     assert all(set(pii.base_spans(t)) == set(pii.all_spans(t, w)) for t in texts)
+
+
+def test_long_phone_matches_and_any_case():
+    for text in ["+1" + fill * 5000 + "2345678" for fill in " .-"] + ["+1" + " " * 5000 + "2345678" * 3, "+1" + " " * 4094 + "234567"]:
+        assert pii.base_spans(text) == brute(text), text[:4]
+    assert pii.base_spans("+1" + " " * 5000 + "2345678") == [("phone", 0, 5009)]
+    for at in ("(at)", "(At)", "(aT)", "[AT]", "[At]"):
+        assert pii.all_spans(f"joe {at} example.org", pii.prior()) == [("email", 0, 20)]

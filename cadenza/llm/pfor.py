@@ -29,6 +29,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,12 +133,17 @@ def read_block(payload: bytes, k: int) -> np.ndarray:
 
 
 class LibraryEncoder:
-    """The tokenizer of a ``tokenizers`` file; the library's model encodes each distinct slice once."""
+    """The tokenizer of a ``tokenizers`` file; the library's model encodes each distinct slice once.
 
-    def __init__(self, path: str) -> None:
+    ``added``: the file's added tokens are matched in the texts, as by the
+    library's ``encode`` (whose ``encode_special_tokens`` is then False).
+    """
+
+    def __init__(self, path: str, added: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in set(own)]
         self.shown = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
@@ -152,19 +158,33 @@ class LibraryEncoder:
     def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return self.cache.encode(pieces, self._library)
 
+    def encode_texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a block of texts, end to end, and the n + 1 row offsets; texts that hold an added token go to the library whole."""
+        marked = np.zeros(len(column), bool)
+        for mark in self.marks:
+            # A token may match more than its content (blanks beside it, another case), never without it.
+            marked |= pc.match_substring(column, mark, ignore_case=True).to_numpy(zero_copy_only=False)
+        if not marked.any():
+            return encode_block(*byte_buffer(column), self.encode)
+        ids, rows = encode_block(*byte_buffer(pc.if_else(pa.array(marked), "", column)), self.encode)
+        own = [ids[a:b] for a, b in zip(rows[:-1].tolist(), rows[1:].tolist())]
+        for i in np.flatnonzero(marked).tolist():
+            own[i] = np.array(self.tokenizer.encode(column[i].as_py(), add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(own), np.append(0, np.cumsum([len(x) for x in own]))
+
 
 @lru_cache(maxsize=2)
-def load_encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+def load_encoder(path: str, added: bool = False) -> LibraryEncoder:
+    return LibraryEncoder(path, added)
 
 
-def write_ids(docs: DataFrame, path: str, out: str, end_id: int = END_ID) -> None:
+def write_ids(docs: DataFrame, path: str, out: str, end_id: int = END_ID, added: bool = False) -> None:
     """Encode ``docs`` in ascending doc_id order and write the chunks to ``out``."""
     ship(docs.sparkSession)
 
     def run(batches):
         part, first = TaskContext.get().partitionId(), 0
-        encoder = load_encoder(path)
+        encoder = load_encoder(path, added)
         held, doc_ids, counts, total = [], [], [], 0
 
         def close():
@@ -179,7 +199,7 @@ def write_ids(docs: DataFrame, path: str, out: str, end_id: int = END_ID) -> Non
 
         for batch in batches:
             for block in blocks(batch):
-                ids, rows = encode_block(*byte_buffer(block.column("text")), encoder.encode)
+                ids, rows = encoder.encode_texts(block.column("text"))
                 own = np.diff(rows)
                 # The end id follows the ids of each document.
                 held.append(np.insert(ids, rows[1:], end_id).astype(np.uint32))
@@ -231,9 +251,9 @@ def read_ids(chunks: DataFrame) -> DataFrame:
     return chunks.mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
-def token_files(docs: DataFrame, path: str, out: str | None = None) -> DataFrame:
-    """Write the files of ``docs`` (below the shared checkpoint folder unless told where) and return the chunks read back."""
+def token_files(docs: DataFrame, path: str, out: str | None = None, added: bool = False) -> DataFrame:
+    """Write the files of ``docs`` (below the shared checkpoint folder unless told where) and return the chunks read back; ``added`` as in ``LibraryEncoder``."""
     spark = docs.sparkSession
     out = out or f"{ensure_checkpoint_dir(spark).rstrip('/')}/pfor-{uuid.uuid4().hex}"
-    write_ids(docs, path, out)
+    write_ids(docs, path, out, added=added)
     return spark.read.schema(CHUNKS).parquet(out)

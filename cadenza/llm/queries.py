@@ -25,7 +25,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from cadenza.llm.pfor import read_digests, token_files
 
-    return read_digests(token_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+    return read_digests(token_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True))
 
 
 @query

@@ -95,3 +95,18 @@ def test_chunks_split(spark, monkeypatch):
     for i in range(200):
         assert got[i][0] == start
         start += got[i][1]
+
+
+def test_query_matches_added_tokens(spark, tmp_path):
+    from cadenza.llm.queries import QUERIES
+
+    t = Tokenizer.from_file(JSON)
+    assert t.encode("abc<|endoftext|>def", add_special_tokens=False).ids == [39305, 50256, 4299]
+    rows = [*enumerate([*ODD, "abc<|endoftext|>def", "x <|endoftext|> <|endoftext|>", "<|EndOfText|> é", "after it"])]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    start, want = 0, []
+    for i, x in rows:
+        own = [*t.encode(x or "", add_special_tokens=False).ids, 0]
+        want.append((i, start, len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
+        start += len(own)
+    assert sorted(map(tuple, QUERIES["op7_token_files"](spark, str(tmp_path)).collect())) == want

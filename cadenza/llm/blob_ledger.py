@@ -51,12 +51,19 @@ class Rule:
         return [m.span() for m in compiled.finditer(text) if m.end(self.group) - m.start(self.group) >= self.least]
 
 
+#: A private key from its BEGIN line to its END line; where that is missing, over the header and base64 lines that follow.
+_PEM = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
+    r"|(?:(?:\s|\\[nr])+(?:Proc-Type|DEK-Info):[^\n\\]*+)*+(?:(?:\s|\\[nr])++[A-Za-z0-9+/]{16,}+={0,2})++(?:(?:\s|\\[nr])++[A-Za-z0-9+/]{1,15}+={0,2}(?![^\s\\\"']))?"
+    r")?"
+)
 #: The base kinds in their listed order, then the kinds added here.
 RULES = (
     Rule("assign", 1, r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", group=2, least=6, either_case=True, base=True),
     Rule("access", 1, r"AKIA[A-Z0-9]+", least=20, base=True),
     Rule("hex", 1, r"[0-9a-f]+", least=24, base=True),
-    Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", 2, _PEM),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )

@@ -78,3 +78,16 @@ def test_empty_tables(spark):
     assert de.contaminated(docs, items(spark, [])).count() == 0
     assert de.decontaminate(docs, items(spark, [])).count() == 1
     assert de.decontaminate(docs, bench).count() == 0
+
+
+def test_edits_in_and_before_a_short_last_sentence(spark):
+    question = "which of the rivers named below flows north through the old capital before it meets the sea near the harbour town"
+    bench = [(1, question + ". Elbe."), (2, question.replace("rivers", "roads") + "? It is 3.5"), (3, question.replace("rivers", "hills"))]
+    docs = []
+    for i, text in bench:
+        own = text.split()
+        docs += [(10 * i, " ".join([*own[:-1], "changed"])), (10 * i + 1, " ".join([*own[:-2], "changed", own[-1]])), (10 * i + 2, " ".join(own[:-1])), (10 * i + 3, " ".join(own[: len(own) // 2]))]
+    got = {(r.doc_id, r.item_id) for r in de.contaminated(documents(spark, docs), items(spark, bench)).collect()}
+    assert got == brute(docs, bench) and {(10, 1), (11, 1), (12, 1), (20, 2), (30, 3)} <= got
+    kept = {r.doc_id for r in de.decontaminate(documents(spark, docs), items(spark, bench)).collect()}
+    assert kept == {d for d, _ in docs} - {d for d, _ in got}

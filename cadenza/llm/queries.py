@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cadenza.llm import fill_in_middle as _fill_in_middle
 from cadenza.llm import fingerprints as _fingerprints
 from cadenza.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {"op4_fingerprints": _fingerprints.SQL}
+SQL: dict[str, str] = {"op4_fingerprints": _fingerprints.SQL, "op12_fill_in_middle": _fill_in_middle.SQL}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -92,3 +93,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = read_table(spark, sf_dir, "documents")
     return score(docs, fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fill_in_middle.fim_digests(_fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents")))

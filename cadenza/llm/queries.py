@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm import fill_in_middle as _fill_in_middle
 from cadenza.llm import fingerprints as _fingerprints
+from cadenza.llm import warc as _warc
 from cadenza.llm.common import read_table
+from cadenza.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {"op4_fingerprints": _fingerprints.SQL, "op12_fill_in_middle": _fill_in_middle.SQL}
+SQL: dict[str, str] = {"op4_fingerprints": _fingerprints.SQL, "op11_warc": _warc.SQL, "op12_fill_in_middle": _fill_in_middle.SQL}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -95,6 +98,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+@query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    _warc.write_archives(read_table(spark, sf_dir, "pages"), path)
+    return _warc.read_archives(spark, path, payloads=False).drop("url", "payload")
+
+
 @query
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fill_in_middle.fim_digests(_fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents")))

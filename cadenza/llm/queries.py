@@ -108,3 +108,12 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fill_in_middle.fim_digests(_fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from cadenza.llm.alignment import alignment_digests
+
+    return alignment_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))

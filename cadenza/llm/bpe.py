@@ -291,6 +291,21 @@ def load_ranks(path: str) -> Ranks:
     return Ranks(path)
 
 
+def distinct_slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each distinct slice, and which of them each slice is; the slices tile ``data``.
+
+    Slices of equal hash are compared byte by byte; should two differ, all are told apart by their bytes.
+    """
+    _, first, which = np.unique(K.slice_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    same = first[which]
+    lengths = ends - starts
+    if np.array_equal(lengths, lengths[same]) and np.array_equal(data, data[K.ranges(starts[same], lengths)]):
+        return first, which
+    raw, places = data.tobytes(), {}
+    which = np.array([places.setdefault(raw[s:e], len(places)) for s, e in zip(starts.tolist(), ends.tolist())], np.int64)
+    return np.unique(which, return_index=True)[1], which
+
+
 def encode_block(data: np.ndarray, offsets: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a block, end to end, and the n + 1 row offsets into them.
 
@@ -301,7 +316,7 @@ def encode_block(data: np.ndarray, offsets: np.ndarray, encode) -> tuple[np.ndar
     if not len(begin):
         return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
     starts, ends = at[begin], at[np.append(begin[1:], len(cps))]
-    _, first, which = np.unique(K.slice_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    first, which = distinct_slices(data, starts, ends)
     raw = data.tobytes()
     pool, sizes = encode([raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())])
     pool_at = np.cumsum(sizes) - sizes

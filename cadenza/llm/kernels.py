@@ -1,19 +1,18 @@
-"""Array kernels over a block of texts: word boundaries, rolling hashes, segments.
+"""Array kernels over a block of texts: word boundaries, hashes of slices, segments.
 
 A block is one byte buffer with row offsets (see ``common.byte_buffer``).
-Hashes are polynomial over a fixed random table of bytes modulo 2**64, read
-off one prefix sum, then mixed; equal byte strings have equal hashes on every
-worker.
+Equal byte strings have equal hashes on every worker.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 _P = np.uint64(0x9E3779B97F4A7C15)
-_P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_powers: dict[str, np.ndarray] = {}
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Longer slices are hashed one by one.
+LONG_BYTES = 512
 
 #: Byte classes of the two word definitions in use.
 NOT_SPACE = np.ones(256, bool)
@@ -35,25 +34,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers["p"]) < n:
-        size = max(n, 1 << 16)
-        for key, base in (("p", _P), ("inv", _P_INV)):
-            one = np.full(size, base, np.uint64)
-            one[0] = 1
-            _powers[key] = np.cumprod(one)
-    return _powers["p"][:n], _powers["inv"]
-
-
-def slice_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``values[start:end]`` (bytes through the table, else numbers as they are)."""
-    v = _TABLE[values] if values.dtype == np.uint8 else values.astype(np.uint64)
-    p, inv = _power(len(v) + 1)
-    prefix = np.empty(len(v) + 1, np.uint64)
-    prefix[0] = 0
-    np.cumsum(v * p[: len(v)], out=prefix[1:])
-    h = (prefix[ends] - prefix[starts]) * inv[starts]
-    return mix(h ^ ((ends - starts).astype(np.uint64) << np.uint64(40)))
+def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte slices ``data[start:end]``.
+
+    Eight bytes at a time pass through the finaliser, so the hash isn't linear
+    in the bytes modulo a power of two (a polynomial there gives equal hashes
+    to long words of two letters and their complements). Slices of over
+    ``LONG_BYTES`` are hashed one by one.
+    """
+    starts, lengths = np.asarray(starts, np.int64), np.asarray(ends - starts, np.int64)
+    h = mix(lengths.astype(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15 + seed))
+    room = np.zeros(len(data) + 8, np.uint8)
+    room[: len(data)] = data
+    eights = np.ndarray((len(data) + 1,), "<u8", room, strides=(1,))
+    long = lengths > LONG_BYTES
+    for i in np.flatnonzero(long).tolist():
+        h[i] ^= np.uint64(xxhash.xxh3_64_intdigest(room[starts[i] : starts[i] + lengths[i]], seed))
+    which = np.flatnonzero((lengths > 0) & ~long)
+    at, left = starts[which], lengths[which]
+    while len(which):
+        h[which] = mix(h[which] * _P ^ (eights[at] & _LOW_BYTES[np.minimum(left, 8)]))
+        more = left > 8
+        which, at, left = which[more], at[more] + 8, left[more] - 8
+    return mix(h)
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -55,6 +55,46 @@ def test_encode_decode_documents(spark, oracle):
     assert digest == {(i, len(x), hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for (i, t) in rows for x in [oracle.encode_ordinary(t or "")]}
 
 
+def thue_morse(n, a="a", b="b"):
+    word, flip = a, {a: b, b: a}
+    while len(word) < n:
+        word += "".join(flip[c] for c in word)
+    return word, "".join(flip[c] for c in word)
+
+
+def test_words_that_a_polynomial_hash_confuses(spark, oracle):
+    """A word over two letters and its complement: equal hashes under any polynomial modulo 2 ** 64."""
+    texts = [*thue_morse(1024), *thue_morse(1024, "e", "t"), *thue_morse(2048), "ab"]
+    docs = documents(spark, enumerate(texts)).coalesce(1)
+    got = {r.doc_id: r.ids for r in bpe.encode_documents(docs, RANKS).collect()}
+    assert got == {i: oracle.encode_ordinary(t) for i, t in enumerate(texts)}
+    t = Tokenizer.from_file(JSON)
+    read = {r.doc_id: r.ids for r in pfor.read_ids(pfor.token_files(docs, JSON)).collect()}
+    assert read == {i: [*t.encode(x).ids, 0] for i, x in enumerate(texts)}
+
+
+def test_slices_of_equal_hash_are_told_apart(oracle, monkeypatch):
+    monkeypatch.setattr(bpe.K, "slice_hashes", lambda data, starts, ends, seed=0: (ends - starts).astype(np.uint64) % np.uint64(2))
+    texts = ["one two six ten", "ten six two one", "a bb ccc"]
+    ranks = bpe.Ranks(RANKS)
+    ids, rows = bpe.encode_block(*byte_buffer(pa.array(texts)), ranks.encode)
+    assert [ids[a:b].tolist() for a, b in zip(rows[:-1], rows[1:])] == [oracle.encode_ordinary(t) for t in texts]
+
+
+def test_slice_hashes_depend_on_the_bytes_alone():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 7, 8, 9, 64, 511, 512, 513, 5000):
+        own = rng.integers(0, 256, n).astype(np.uint8)
+        room = np.concatenate([rng.integers(0, 256, 13).astype(np.uint8), own, rng.integers(0, 256, 5).astype(np.uint8)])
+        one = bpe.K.slice_hashes(room, np.array([13]), np.array([13 + n]))
+        assert one == bpe.K.slice_hashes(own, np.array([0]), np.array([n]))
+        for i in range(0, n, max(1, n // 9)):
+            other = own.copy()
+            other[i] ^= 1
+            assert one != bpe.K.slice_hashes(other, np.array([0]), np.array([n]))
+        assert one != bpe.K.slice_hashes(own, np.array([0]), np.array([n]), seed=1)
+
+
 def test_empty_table(spark):
     assert bpe.encoding_digests(documents(spark, []), RANKS).count() == 0
     assert pfor.read_digests(pfor.token_files(documents(spark, []), JSON)).count() == 0

@@ -92,7 +92,19 @@ def materialize(df: DataFrame) -> DataFrame:
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/cadenza-table-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._materialized_at = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete tables that ``materialize`` wrote and that no plan will read any more (others and None are left alone)."""
+    for df in tables:
+        path = getattr(df, "_materialized_at", None)
+        if path is not None:
+            jvm = df.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20, cores: int | None = None) -> dict[str, str]:

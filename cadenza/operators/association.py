@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions.scalar import safe_ln
-from cadenza.operators.quantiles import percentiles_long
+from cadenza.operators.quantiles import percentile_columns
 
 
 def corr_with_label(df: DataFrame, label: str, features: Sequence[str], null_as_zero: bool = False) -> DataFrame:
@@ -55,8 +55,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], log_label: str | None = N
 
 def quartile_edges(df: DataFrame, col: str) -> DataFrame:
     """Exact linear 25/50/75 % of ``col`` as one row (e1, e2, e3)."""
-    q = percentiles_long(df, [], [col], [0.25, 0.5, 0.75])
-    return q.groupBy().pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value")).toDF("e1", "e2", "e3")
+    return percentile_columns(df, [col], {"e1": 0.25, "e2": 0.5, "e3": 0.75}).drop("feature")
 
 
 def with_quartile(df: DataFrame, col: str, out: str = "quartile") -> DataFrame:

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.operators.quantiles import percentiles_long
+from cadenza.operators.quantiles import percentile_columns
 
 
 def _bins(df: DataFrame, n: int) -> DataFrame:
@@ -43,21 +43,36 @@ def equal_width_histogram(df: DataFrame, col: str | Column, n: int) -> DataFrame
     return edges.join(counts, "bin", "left").select("bin", "lo", "hi", F.coalesce("count", F.lit(0)).alias("count"))
 
 
+#: Bins that one range of the integer histogram has.
+CHUNK_BINS = 100_000
+
+
 def integer_histogram(df: DataFrame, col: str) -> DataFrame:
     """All unit bins of 0..max, empty ones too; the maximum falls into the last bin [max-1, max].
 
-    Values below 0 keep their own bins before those. The list of bins is as
-    long as the maximum, as the edges of the reference's histogram are.
+    Values below 0 keep their own bins before those. The bins are made in two
+    steps: ranges of ``CHUNK_BINS`` bins, dealt over the cores, then inside its
+    range each counted bin is followed by the empty ones up to the next. So
+    only counts and one row per range are shuffled, and no row or task holds
+    the list of all bins, however large the maximum.
     """
     x = F.col(col).cast("long")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
     top = vals.select(F.max("x")).scalar()
     last = F.greatest(top - 1, F.lit(0))
     counts = vals.groupBy(F.least(F.col("x"), last).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    bins = vals.agg(F.max("x").alias("top")).where("top is not null").select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("top") - 1, F.lit(0).cast("long")))).alias("bin")
-    )
-    return bins.join(counts, "bin", "full").select("bin", F.coalesce("count", F.lit(0)).alias("count"))
+    range_of = lambda b: F.floor(b / CHUNK_BINS)
+    starts = vals.agg(F.max("x").alias("top")).where("top is not null").select(
+        F.explode(F.sequence(F.lit(0).cast("long"), range_of(F.greatest(F.col("top") - 1, F.lit(0))))).alias("range")
+    ).select((F.col("range") * CHUNK_BINS).alias("bin"), F.lit(0).cast("long").alias("count"))
+    rows = counts.unionByName(starts).withColumn("range", range_of(F.col("bin")))
+    # A fixed number of partitions: the rows are few, but each range becomes many.
+    rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism, "range").groupBy("range", "bin").agg(F.sum("count").alias("count"))
+    end = F.least((F.col("range") + 1) * CHUNK_BINS, last + 1)
+    after = F.coalesce(F.lead("bin").over(Window.partitionBy("range").orderBy("bin")), end)
+    after = F.when(F.col("bin") < 0, F.col("bin") + 1).otherwise(after)
+    bins = rows.withColumn("after", after).select("bin", "count", F.explode(F.sequence(F.col("bin"), F.col("after") - 1)).alias("b"))
+    return bins.select(F.col("b").alias("bin"), F.when(F.col("b") == F.col("bin"), F.col("count")).otherwise(0).alias("count"))
 
 
 def boxplot_summary(df: DataFrame, columns: list[str], whisker: float = 1.5) -> DataFrame:
@@ -66,10 +81,7 @@ def boxplot_summary(df: DataFrame, columns: list[str], whisker: float = 1.5) ->
     Quartiles by linear interpolation (exact); whiskers at the most extreme
     values inside the 1.5 IQR fences; outliers counted outside them.
     """
-    q = percentiles_long(df, [], columns, [0.25, 0.5, 0.75])
-    quart = q.groupBy("feature").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value")).toDF(
-        "feature", "q1", "median", "q3"
-    )
+    quart = percentile_columns(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns])
     long = df.select(F.explode(pairs).alias("kv")).select("kv.feature", "kv.v").where(F.col("v").isNotNull())
     # One row per feature: bounded by the number of columns asked for.

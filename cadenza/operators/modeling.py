@@ -197,6 +197,9 @@ class ForestSpec:
     min_instances: int = 1
     subset_strategy: str = "auto"
     seed: int = 0
+    max_depth: int = 5
+    max_bins: int = 32
+    bootstrap: bool = True
 
 
 def forest_pipeline(features: Sequence[str], label: str, spec: ForestSpec = ForestSpec(), nulls: str = "impute"):
@@ -222,6 +225,9 @@ def forest_pipeline(features: Sequence[str], label: str, spec: ForestSpec = Fore
         minInstancesPerNode=spec.min_instances,
         featureSubsetStrategy=spec.subset_strategy,
         seed=spec.seed,
+        maxDepth=spec.max_depth,
+        maxBins=spec.max_bins,
+        bootstrap=spec.bootstrap,
     )
     stages.append(forest)
     return Pipeline(stages=stages), forest

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions.scalar import epoch_to_date, tokens
-from cadenza.operators.quantiles import percentiles_long
+from cadenza.operators.quantiles import percentile_columns
 
 
 def frequency(df: DataFrame, key: str | Column, name: str | None = None) -> DataFrame:
@@ -103,9 +103,7 @@ def describe_strings(df: DataFrame, *columns: str) -> DataFrame:
 def describe_quartiles(df: DataFrame, columns: Sequence[str], with_count: bool = True) -> DataFrame:
     """Describe plus exact linear 25/50/75 % (pandas ``describe``)."""
     base = describe_long(df, columns)
-    q = percentiles_long(df, [], columns, [0.25, 0.5, 0.75])
-    wide = q.groupBy(F.col("feature").alias("column")).pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
-    wide = wide.toDF("column", "p25", "p50", "p75")
+    wide = percentile_columns(df, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).withColumnRenamed("feature", "column")
     out = base.join(wide, "column", "left")
     return out if with_count else out.drop("count")
 

@@ -252,19 +252,111 @@ def scaled_features(spark, d):
     return out.select("pid", *[values[i].alias(c) for i, c in enumerate(FEATURES)])
 
 
+# ---------------------------------------------------------------- a forest that SQL can grow as well
+
+# One tree on all rows and features, whose split places are all midpoints of
+# neighbouring values (fewer distinct values than bins): SQL grows the same tree.
+TREE_FEATURES = ["num_tracks", "num_albums", "genre_count"]
+TREE = M.ForestSpec(num_trees=1, subset_strategy="all", max_depth=3, max_bins=4096, bootstrap=False)
+
+
+def _tree_sql() -> dict[str, str]:
+    """CTEs: ``t_rows`` (train and test rows), ``split_k`` and ``at_k`` (node of each row) per level, ``inner_nodes``."""
+    filled = ", ".join(f"coalesce({f}, m_{f}) AS {f}" for f in TREE_FEATURES)
+    means = ", ".join(f"avg({f}) AS m_{f}" for f in TREE_FEATURES)
+    long = " UNION ALL ".join(f"SELECT pid, node, y, {i} AS f, CAST({f} AS DOUBLE) AS v FROM at_{{k}} WHERE train" for i, f in enumerate(TREE_FEATURES))
+    out = {
+        "t_all": f"""SELECT ftable.*, CASE WHEN {LABEL} > 0 THEN ln({LABEL}) END AS y, {U_SQL} < 0.8 AS train
+                     FROM ftable SEMI JOIN us USING (pid)""",
+        "t_means": f"SELECT {means} FROM t_all WHERE train AND y IS NOT NULL",
+        "at_0": f"SELECT pid, y, train, 0 AS node, {filled} FROM t_all, t_means WHERE y IS NOT NULL",
+        "steps": "SELECT f, v, (v + lead(v) OVER (PARTITION BY f ORDER BY v)) / 2 AS threshold FROM (SELECT DISTINCT f, v FROM ("
+        + long.format(k=0)
+        + ") d) e",
+    }
+    for k in range(TREE.max_depth):
+        out[f"long_{k}"] = long.format(k=k)
+        out[f"sums_{k}"] = f"""SELECT *, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(q) OVER w AS lq, sum(n) OVER a AS tn, sum(s) OVER a AS ts, sum(q) OVER a AS tq
+            FROM (SELECT node, f, v, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s, sum(y * y) AS q FROM long_{k} GROUP BY node, f, v) g
+            WINDOW w AS (PARTITION BY node, f ORDER BY v), a AS (PARTITION BY node, f)"""
+        out[f"gains_{k}"] = f"""SELECT node, f, v, tn AS n, (tq - ts * ts / tn) / tn - ln / tn * ((lq - ls * ls / ln) / ln)
+                - (tn - ln) / tn * ((tq - lq - (ts - ls) * (ts - ls) / (tn - ln)) / (tn - ln)) AS gain
+            FROM sums_{k} WHERE ln < tn"""
+        out[f"split_{k}"] = f"""SELECT node, f, threshold, n, gain
+            FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) AS place FROM gains_{k} WHERE gain > 0) b
+            JOIN steps USING (f, v) WHERE place = 1"""
+        value = "CASE f " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(TREE_FEATURES)) + " END"
+        out[f"at_{k + 1}"] = f"""SELECT pid, y, train, CASE WHEN f IS NULL THEN node WHEN {value} <= threshold THEN 2 * node + 1 ELSE 2 * node + 2 END AS node,
+                {", ".join(TREE_FEATURES)}
+            FROM at_{k} LEFT JOIN split_{k} USING (node)"""
+    out["inner_nodes"] = " UNION ALL ".join(f"SELECT * FROM split_{k}" for k in range(TREE.max_depth))
+    return out
+
+
+def _saved_tree(spark, d):
+    """(nodes, model, test rows) of the single tree, saved and loaded again."""
+    import uuid
+
+    from pyspark.ml import PipelineModel
+
+    from cadenza.operators.forest_table import saved_nodes
+    from cadenza.session import ensure_checkpoint_dir
+    from cadenza.sources.sinks import save_model
+
+    train, test = M.hash_split(_prepared_for_fitting(spark, d))
+    pipeline, _ = M.forest_pipeline(TREE_FEATURES, LABEL, TREE)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cadenza-model-{uuid.uuid4().hex}"
+    save_model(pipeline.fit(train), path)
+    return saved_nodes(spark, path), PipelineModel.load(path), test
+
+
+_DEEP = TREE.max_depth
+
+
+@register(
+    "tree_predictions",
+    with_ctes(["ftable"], f"""SELECT pid, {r('value')} AS prediction, {r('value')} AS node_prediction
+        FROM at_{_DEEP} JOIN (SELECT node, avg(y) AS value FROM at_{_DEEP} WHERE train GROUP BY node) l USING (node) WHERE NOT train""", _CLASSES | _tree_sql()),
+    "K7 M9 M10 M13 T12",
+)
+def tree_predictions(spark, d):
+    """Every test row's prediction by the loaded model and by its node table; SQL grows the tree anew."""
+    from cadenza.operators.forest_table import predict
+
+    nodes, model, test = _saved_tree(spark, d)
+    scored = model.transform(test)
+    by_nodes = predict(nodes, scored, "scaled_features", ["pid"], TREE.max_depth).withColumnRenamed("prediction", "node_prediction")
+    return scored.select("pid", "prediction").join(by_nodes, "pid")
+
+
+@register(
+    "tree_importances",
+    with_ctes(["ftable"], f"""SELECT feature, {r('coalesce(g, 0) / (SELECT sum(gain * n) FROM inner_nodes)')} AS importance,
+            {r('coalesce(g, 0) / (SELECT sum(gain * n) FROM inner_nodes)')} AS node_importance
+        FROM (VALUES {", ".join(f"({i}, '{f}')" for i, f in enumerate(TREE_FEATURES))}) names(f, feature)
+        LEFT JOIN (SELECT f, sum(gain * n) AS g FROM inner_nodes GROUP BY f) s USING (f)""", _CLASSES | _tree_sql()),
+    "M12 M9 K7",
+)
+def tree_importances(spark, d):
+    """Importances reported by the loaded model and summed from its node table; SQL grows the tree anew."""
+    from cadenza.operators.forest_table import node_importances
+
+    nodes, model, _ = _saved_tree(spark, d)
+    own = node_importances(nodes, TREE_FEATURES).withColumnRenamed("importance", "node_importance")
+    return M.importances(spark, model, TREE_FEATURES).join(own, "feature")
+
+
 @register(
     "importances_identity",
-    f"SELECT {len(FEATURES)} AS features, 1.0 AS total, true AS in_range FROM (SELECT count(*) FROM orders) t",
+    with_ctes(["ftable"], f"""SELECT {len(TREE_FEATURES)} AS features, 1.0 AS total, {r('sum(gain * n)')} AS weighted_gain
+        FROM inner_nodes""", _CLASSES | _tree_sql()),
     "M12",
 )
 def importances_identity(spark, d):
-    """Importances of all features, each from 0 to 1 and 1 in sum."""
-    found = forest_importances(spark, d)
-    return found.agg(
-        F.count("feature").cast("int").alias("features"),
-        F.round(F.sum("importance"), 6).alias("total"),
-        F.bool_and(F.col("importance").between(0, 1)).alias("in_range"),
-    )
+    """The tree's importances sum to 1, and so do its nodes' gains to the weighted gain of the tree that SQL grows."""
+    nodes, model, _ = _saved_tree(spark, d)
+    total = M.importances(spark, model, TREE_FEATURES).agg(F.count("*").cast("int").alias("features"), F.round(F.sum("importance"), 6).alias("total"))
+    return total.withColumn("weighted_gain", nodes.select(F.sum(F.col("gain") * F.col("n"))).scalar())
 
 
 @register("ablation", None, "M14")

@@ -197,6 +197,22 @@ def test_integer_histogram_puts_max_in_last_bin(spark):  # D2
     assert got == {0: 1, 1: 2, 2: 1}
 
 
+def test_integer_histogram_of_negative_values_and_ranges(spark, monkeypatch):
+    monkeypatch.setattr(D, "CHUNK_BINS", 4)
+    values = [-9, -9, -4, -1, 0, 3, 4, 11, 12, 12]
+    df = spark.createDataFrame([(x,) for x in values], "x int")
+    got = {r.bin: r["count"] for r in D.integer_histogram(df, "x").collect()}
+    want = {b: 0 for b in range(12)} | {-9: 2, -4: 1, -1: 1, 0: 1, 3: 1, 4: 1, 11: 3}
+    assert got == want
+    assert {r.bin: r["count"] for r in D.integer_histogram(df.where("x < 0"), "x").collect()} == {-9: 2, -4: 1, -1: 1, 0: 0}
+
+
+def test_integer_histogram_of_a_huge_maximum(spark):
+    df = spark.createDataFrame([(7,), (100_000_000,), (99_999_999,)], "x int")
+    row = D.integer_histogram(df, "x").agg(F.count("*").alias("bins"), F.sum("count").alias("n"), F.max("bin").alias("last"), F.sum(F.when(F.col("bin").isin(7, 99_999_999), F.col("count"))).alias("own")).first()
+    assert tuple(row) == (100_000_000, 3, 99_999_999, 3)
+
+
 def test_quartiles_are_right_closed_and_ties_share(spark):  # D5
     df = spark.createDataFrame([(float(x),) for x in [1, 1, 1, 1, 2, 3, 4, 5]], "y double")
     got = {r.y: r.quartile for r in A.with_quartile(df, "y").collect()}

@@ -39,6 +39,14 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it while ``df`` has such a column (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def byte_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column, end to end, and n + 1 offsets (null: empty)."""
     if isinstance(column, pa.ChunkedArray):

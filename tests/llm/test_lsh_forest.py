@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from cadenza.llm import lsh_forest
+from cadenza.llm import components, lsh_forest
 from cadenza.llm.components import connected_components
 from tests.llm import brute
 
@@ -19,7 +19,9 @@ def result(df):
     return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in df.collect()}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("held", [1 << 20, 40])
+def test_components(spark, monkeypatch, held):
+    monkeypatch.setattr(components, "LOCAL_EDGES", held)
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(100, 160)] + [(rng.randint(0, 90), rng.randint(0, 90)) for _ in range(60)] + [(5, 5), (None, 4), (100, 101)]
     parent = {}
@@ -45,7 +47,10 @@ def test_matches_brute_force_on_a_table(spark, size):
     assert result(lsh_forest.near_duplicates(docs, size, 80)) == brute.near_duplicates(rows, size, 80)
 
 
-def test_large_groups_and_odd_rows(spark):
+@pytest.mark.parametrize("block,shingles", [(1024, 1 << 22), (9, 1 << 22), (40, 900)])
+def test_large_groups_and_odd_rows(spark, monkeypatch, block, shingles):
+    monkeypatch.setattr(lsh_forest, "BLOCK", block)
+    monkeypatch.setattr(lsh_forest, "SHINGLES", shingles)
     rng = random.Random(5)
     base = [f"w{rng.randint(0, 500)}" for _ in range(120)]
     rows = []
@@ -100,3 +105,39 @@ def test_links_inside_large_runs_without_a_center(spark, monkeypatch):
     rng.shuffle(rows)
     rows = [(7 * k, t) for k, (_, t) in enumerate(rows)]
     assert result(lsh_forest.near_duplicates(documents(spark, rows), 4, 80)) == brute.near_duplicates(rows, 4, 80)
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += "".join({"a": "b", "b": "a"}[c] for c in word)
+    return word, "".join({"a": "b", "b": "a"}[c] for c in word)
+
+
+def test_texts_that_a_polynomial_hash_confuses(spark):
+    rows = list(enumerate([*thue_morse(1024), "x y z " + thue_morse(1024)[0], "x y z " + thue_morse(1024)[1], thue_morse(1024)[0]]))
+    assert result(lsh_forest.near_duplicates(documents(spark, rows), 4, 80)) == brute.near_duplicates(rows, 4, 80)
+
+
+def test_a_family_without_links_writes_no_pairs(spark, monkeypatch):
+    """Texts of one frame, about 0.69 alike: all are one family, none is linked."""
+    monkeypatch.setattr(lsh_forest, "BLOCK", 64)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(240)]
+    rows = [(i, edited(rng, base, 5, f"z{i}")) for i in range(200)]
+    docs = documents(spark, rows)
+    found = []
+    held = lsh_forest.materialize
+    monkeypatch.setattr(lsh_forest, "materialize", lambda df: found.append(out := held(df)) or out)
+    counts = []
+    monkeypatch.setattr(lsh_forest, "release", lambda *tables: counts.extend(t.count() for t in tables if t is not None))
+    got = result(lsh_forest.near_duplicates(docs, 4, 80))
+    assert got == brute.near_duplicates(rows, 4, 80)
+    assert len({c for _, c, _ in got.values()}) > 150
+    assert max(counts) <= 16 * len(rows)
+
+
+def test_deduplicate_keeps_clashing_columns(spark):
+    rows = [(1, "one two three four five six", "a", 1), (2, "one two three four five six", "b", 2), (3, "else", "c", 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, kept_id string, _kept_id int")
+    assert sorted(map(tuple, lsh_forest.deduplicate(docs).collect())) == [rows[0], rows[2]]

@@ -41,12 +41,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm import kernels as K
+from cadenza.llm.bpe import SliceCache, distinct_slices
 from cadenza.llm.common import blocks, byte_buffer, map_blocks, ship, texts
 from cadenza.llm.pfor import load_encoder
 from cadenza.session import materialize
 
 #: A region closes at so many links (a longer document stays whole).
 REGION_LINKS = 1 << 21
+#: Distinct words of side B kept by one worker.
+CACHE_SLICES = 1 << 19
 #: Rows of a region's pair table handed on at once.
 PAIR_ROWS = 1 << 16
 
@@ -87,6 +90,9 @@ class Sides:
         self.a_pieces = Pieces(a_pieces)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_pieces = Pieces([self._b_bytes(i) for i in range(self.b.get_piece_size())])
+        # No piece goes on to a space after another character, so no merge crosses the place before a space.
+        self.by_words = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
+        self.cache = SliceCache(CACHE_SLICES)
         names = [str(i) for i in range(max(len(a_pieces), self.b.get_piece_size()))]
         self.name_lengths = np.array([len(x) for x in names], np.int64)
         self.names = np.zeros((len(names), len(names[-1]) + 1), np.uint8)
@@ -97,14 +103,42 @@ class Sides:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
+    def _library(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # The library puts the first space before a text, but none where nothing follows.
+        lists = self.b.encode([w[1:].decode() for w in words], num_threads=1)
+        space = self.b.piece_to_id("▁")
+        lists = [x if len(w) > 1 else [space] for x, w in zip(lists, words)]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.uint32, int(counts.sum())), counts
+
+    def b_tokens(self, column: pa.Array, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of B, end to end, and the n + 1 row offsets; ``data`` has the spaced texts.
+
+        Each distinct word, which is spaces and what follows up to the next space, goes to the library once.
+        """
+        if not self.by_words:
+            lists = self.b.encode(column.to_pylist(), num_threads=1)
+            rows = np.append(0, np.cumsum([len(x) for x in lists], dtype=np.int64))
+            return np.fromiter(chain.from_iterable(lists), np.uint32, int(rows[-1])), rows
+        begin = np.zeros(len(data), bool)
+        space = data == 0x20
+        begin[1:] = space[1:] & ~space[:-1]
+        begin[offsets[:-1]] = True
+        starts = np.flatnonzero(begin)
+        ends = np.append(starts[1:], len(data))
+        first, which = distinct_slices(data, starts, ends)
+        raw = data.tobytes()
+        pool, sizes = self.cache.encode([raw[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())], self._library)
+        at = np.cumsum(sizes) - sizes
+        total = np.append(0, np.cumsum(sizes[which]))
+        return pool[K.ranges(at[which], sizes[which])], total[np.searchsorted(starts, offsets)]
+
     def tokens(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A, n + 1 row offsets, ids of B, row offsets, and which rows have tokens; the others have none."""
         spaced = pc.binary_join_element_wise(pa.scalar("", column.type), column, pa.scalar(" ", column.type))
         data, offsets = byte_buffer(spaced)
         a, a_rows = self.a.encode_texts(spaced)
-        lists = self.b.encode(column.to_pylist(), num_threads=1)
-        b_rows = np.append(0, np.cumsum([len(x) for x in lists], dtype=np.int64))
-        b = np.fromiter(chain.from_iterable(lists), np.uint32, int(b_rows[-1]))
+        b, b_rows = self.b_tokens(column, data, offsets)
         used = np.diff(offsets) > 1
         used &= self.a_pieces.equal(a, a_rows, data, offsets) & self.b_pieces.equal(b, b_rows, data, offsets)
         out = []
@@ -119,11 +153,19 @@ def load_sides(a_path: str, b_path: str) -> Sides:
     return Sides(a_path, b_path)
 
 
+def _ends_below(ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Marks of the ends among the places 0 .. size, and how many lie below each place."""
+    mark = np.zeros(size + 1, bool)
+    mark[ends] = True
+    below = np.zeros(size + 2, np.int32)
+    np.cumsum(mark, out=below[1:])
+    return mark, below[:-1]
+
+
 def label_groups(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The group of each token of A and of B, numbered from 0, by pointer jumping over the ends of tokens that tile the same bytes."""
     na, nb = len(a_ends), len(b_ends)
-    last = np.searchsorted(b_ends, a_ends, "left")
-    back = np.searchsorted(a_ends, b_ends, "left")
+    last, back = _ends_below(b_ends, a_ends[-1])[1][a_ends], _ends_below(a_ends, a_ends[-1])[1][b_ends]
     s = np.concatenate([na + last, np.where(a_ends[back] > b_ends, back, na + np.arange(nb))])
     while True:
         further = s[s]
@@ -140,15 +182,18 @@ class Block:
     def __init__(self, sides: Sides, column: pa.Array) -> None:
         self.a, self.a_rows, self.b, self.b_rows, self.used = sides.tokens(column)
         a_ends, b_ends = np.cumsum(sides.a_pieces.lengths[self.a]), np.cumsum(sides.b_pieces.lengths[self.b])
-        if len(self.a):
-            self.a_group, self.b_group = label_groups(a_ends, b_ends)
-        else:
-            self.a_group = self.b_group = np.zeros(0, np.int64)
+        if not len(self.a):
+            none = np.zeros(0, np.int64)
+            self.a_group = self.b_group = self.link_a = self.link_b = none
+            self.group_rows = self.link_rows = np.zeros(len(self.a_rows), np.int64)
+            return
+        self.a_group, self.b_group = label_groups(a_ends, b_ends)
         # The last byte of a row is the end of a group, so rows cut the groups as well.
         self.group_rows = np.append(0, self.b_group + 1)[self.b_rows]
-        ends = np.union1d(a_ends, b_ends)
-        self.link_a, self.link_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
-        self.link_rows = np.searchsorted(ends, np.append(0, a_ends)[self.a_rows], "right") if len(ends) else np.zeros(len(self.a_rows), np.int64)
+        (is_a, a_below), (is_b, b_below) = (_ends_below(x, a_ends[-1]) for x in (a_ends, b_ends))
+        ends = np.flatnonzero(is_a | is_b)
+        self.link_a, self.link_b = a_below[ends], b_below[ends]
+        self.link_rows = np.searchsorted(ends, np.append(0, a_ends)[self.a_rows], "right")
 
     def pairs(self) -> np.ndarray:
         """The id pair of each link: A's id above, B's in the lower 32 bits."""
@@ -157,8 +202,10 @@ class Block:
     def group_digests(self, sides: Sides) -> list[str]:
         """SHA-256 of ``a1,a2|b1;a3|b2`` of each row (no tokens: an empty string)."""
         na, nb = len(self.a), len(self.b)
-        at_a = np.arange(na) + np.searchsorted(self.b_group, self.a_group, "left")
-        at_b = np.arange(nb) + np.searchsorted(self.a_group, self.b_group, "right")
+        n = int(self.group_rows[-1])
+        in_a, in_b = np.bincount(self.a_group, minlength=n), np.bincount(self.b_group, minlength=n)
+        at_a = np.arange(na) + (np.cumsum(in_b) - in_b)[self.a_group]
+        at_b = np.arange(nb) + np.cumsum(in_a)[self.b_group]
         ids, mark = np.empty(na + nb, np.int64), np.empty(na + nb, np.uint8)
         ids[at_a], ids[at_b] = self.a, self.b
         more = lambda g: np.append(g[1:] == g[:-1], False)[: len(g)]

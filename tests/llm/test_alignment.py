@@ -122,6 +122,21 @@ def test_label_groups_against_common_ends():
             assert (group == np.searchsorted(common, side, "left")).all()
 
 
+def test_words_of_side_b_against_whole_texts(libraries):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    alphabet = list("ab  \n\t.é日▁<0x41>'1👍") + ["the", " of", "  "]
+    texts = ["".join(rng.choice(alphabet, rng.integers(0, 30))) for _ in range(3000)]
+    sides = alignment.load_sides(A, B)
+    assert sides.by_words
+    column = pa.array(texts)
+    data, offsets = alignment.byte_buffer(pa.array([" " + t for t in texts]))
+    ids, rows = sides.b_tokens(column, data, offsets)
+    for t, a, b in zip(texts, rows[:-1], rows[1:]):
+        assert not t or ids[a:b].tolist() == libraries[1].encode(t), t
+
+
 def test_empty_table(spark):
     assert alignment.alignment_digests(documents(spark, []), A, B).count() == 0
     assert alignment.align_documents(documents(spark, []), A, B).count() == 0

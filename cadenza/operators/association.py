@@ -11,7 +11,6 @@ reference's nearest-neighbour one, so its numbers differ by design.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -155,7 +154,3 @@ def rename_nested_aggregates(df: DataFrame) -> DataFrame:
     names = [re.split(r"[()]", c) for c in df.columns]
     clean = [next((p for p in reversed(parts) if p), c) if "(" in c else c for parts, c in zip(names, df.columns)]
     return df.toDF(*clean)
-
-
-def union_all(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

@@ -2,7 +2,7 @@
 
 M1 outlier cut, M2 undersampling, M3 log target, M4 split, M5 mean baseline,
 M6 metrics, M7-M10 assemble/scale/forest pipeline, M11 grid search with
-k-fold CV, M12 report, M13 scoring, M14 ablation over the preparation flags.
+k-fold CV (see ``search`` for the one that shares work), M12 report, M13 scoring.
 
 Scalars (threshold, class sizes, training mean) enter the plans as scalar
 subqueries, so nothing is collected on the data path. Sampling and splitting
@@ -12,7 +12,6 @@ checkable against SQL, trap T11); the engine's seeded ``sample``/``randomSplit``
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -25,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.scalar import safe_ln
-from cadenza.session import materialize
 
 # Fixed values of the reference's modeling set-up: outlier quantile, seed,
 # folds, metric, and the 3 x 3 x 5 x 2 = 90-point forest grid.
@@ -113,12 +111,6 @@ def hash_split(df: DataFrame, key: str = "pid", train_fraction: float = 0.8, sal
     return df.where(u < train_fraction), df.where(u >= train_fraction)
 
 
-def random_split(df: DataFrame, train_fraction: float = 0.8, seed: int = 0) -> tuple[DataFrame, DataFrame]:
-    """M4 as the reference: ``randomSplit`` with a seed (persist before reuse)."""
-    train, test = df.randomSplit([train_fraction, 1 - train_fraction], seed=seed)
-    return train, test
-
-
 def with_baseline(train: DataFrame, test: DataFrame, label: str, out: str = "baseline_prediction"):
     """M5: the training mean of the label as a prediction column on both sets."""
     mean = train.select(F.avg(label)).scalar()
@@ -290,17 +282,6 @@ def cv_report(spark, cv_model, forest, grid) -> DataFrame:
     )
 
 
-def best_params(cv_model) -> dict:
-    """Hyper-parameters of the refitted best forest, by public getters."""
-    forest = cv_model.bestModel.stages[-1]
-    return {
-        "num_trees": forest.getNumTrees,
-        "subsampling_rate": forest.getSubsamplingRate(),
-        "min_instances": forest.getMinInstancesPerNode(),
-        "subset_strategy": forest.getFeatureSubsetStrategy(),
-    }
-
-
 def importances(spark, model, features: Sequence[str]) -> DataFrame:
     """(feature, importance) of the fitted forest, by input name."""
     forest = model.stages[-1] if hasattr(model, "stages") else model
@@ -332,65 +313,3 @@ def prepare(
     if log_flag:
         out = log_target(out, label)
     return out
-
-
-def ablation(
-    spark,
-    df: DataFrame,
-    features: Sequence[str],
-    label: str,
-    key: str = "pid",
-    spec: ForestSpec = ForestSpec(),
-    majority=1.0,
-    minority=2.0,
-    cv_folds: int = 3,
-) -> DataFrame:
-    """Every combination of the three preparation flags with the default
-    forest; (flags..., set, n, rmse, r2, baseline_rmse, baseline_r2, cv_r2).
-
-    ``cv_r2`` is the mean r2 over ``cv_folds`` folds of the training set (the
-    reference's "CV r2" column); 0 folds skips it.
-    """
-    results = None
-    for outl, skew, under in itertools.product([False, True], repeat=3):
-        prepared = prepare(df, label, outl, skew, under, majority, minority, key).where(F.col(label).isNotNull())
-        # Written once: the folds, the refit and the metrics all read it, instead
-        # of re-running the threshold/size/mean subqueries of the preparation.
-        prepared = materialize(prepared)
-        train, test = hash_split(prepared, key)
-        train, test = with_baseline(train, test, label)
-        pipeline, forest = forest_pipeline(features, label, spec)
-        cv_r2 = None
-        if cv_folds:
-            cv = CrossValidator(
-                estimator=pipeline,
-                estimatorParamMaps=ParamGridBuilder().addGrid(forest.numTrees, [spec.num_trees]).build(),
-                evaluator=RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2"),
-                numFolds=cv_folds,
-                seed=spec.seed,
-            )
-            cv_model = cv.fit(train)
-            cv_r2 = float(cv_model.avgMetrics[0])
-            model = cv_model.bestModel
-        else:
-            model = pipeline.fit(train)
-        parts = []
-        for name, rows in (("train", train), ("test", test)):
-            m = metrics_for_predictions(model.transform(rows), label, ["prediction", "baseline_prediction"])
-            wide = m.groupBy().pivot("predictor", ["prediction", "baseline_prediction"]).agg(
-                F.first("n").alias("n"), F.first("rmse").alias("rmse"), F.first("r2").alias("r2")
-            )
-            parts.append(wide.select(
-                F.lit(name).alias("set"),
-                F.col("prediction_n").alias("n"),
-                F.col("prediction_rmse").alias("rmse"),
-                F.col("prediction_r2").alias("r2"),
-                F.col("baseline_prediction_rmse").alias("baseline_rmse"),
-                F.col("baseline_prediction_r2").alias("baseline_r2"),
-            ))
-        row = parts[0].unionByName(parts[1]).select(
-            F.lit(outl).alias("remove_outliers"), F.lit(skew).alias("remove_skewness"),
-            F.lit(under).alias("undersampling"), "*", F.lit(cv_r2).cast("double").alias("cv_r2")
-        )
-        results = row if results is None else results.unionByName(row)
-    return results

@@ -75,7 +75,8 @@ def _at_ranks(counts: DataFrame, probs: Sequence[float], buckets: int, levels: i
     """
     values = counts.where(F.col("v").isNotNull())
     ranges = buckets**levels
-    grid = [i / ranges for i in range(1, ranges)]
+    # One literal: an array of as many literals as ranges would take seconds to analyse.
+    grid = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
     splitters = values.groupBy("f").agg(F.percentile_approx(F.when(~F.isnan("v"), F.col("v")), grid, 10 * ranges).alias("splits"))
     rows = values.join(F.broadcast(splitters), "f").withColumn("b", F.lit(0))
     for level in range(levels):

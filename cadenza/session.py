@@ -127,9 +127,3 @@ def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20, co
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
-
-
-def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
-    """Apply runtime SQL settings (e.g. from ``scale_settings``) to a session."""
-    for k, v in settings.items():
-        spark.conf.set(k, v)

@@ -6,26 +6,55 @@ every 100 request batches, and every reader later masks the repeats with
 new JSON-lines file once (its checkpoint remembers which), and every
 micro-batch is merged into a Parquet table keyed by the record key with an
 anti-join, so the table never holds a key twice and reruns do not duplicate.
+The table is partitioned by a hash of the key: a batch reads the keys of the
+partitions that its own keys fall into, not those of the whole table.
 ``availableNow`` processes what is there and stops, which suits batch
 schedulers; a processing-time trigger keeps it running.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _merge_batch(target: str, key: str):
+#: Partition column of the table, and how many partitions it has unless told otherwise.
+BUCKET = "key_bucket"
+BUCKETS = 64
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _table_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+
+
+def read_ingested(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """The records of the table, without its partition column."""
+    return spark.read.schema(_table_schema(schema)).parquet(target).select(*schema.names)
+
+
+def new_records(batch: DataFrame, target: str, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """The batch's records whose key the table lacks, with their bucket; reads the batch's own partitions only."""
+    spark = batch.sparkSession
+    # Repeats inside the batch first (the largest row per key, whatever the order), then keys already stored.
+    row = F.struct(*[c for c in batch.columns if c != key])
+    fresh = batch.groupBy(key).agg(F.max(row).alias("_row")).select(key, "_row.*").select(*batch.columns)
+    fresh = fresh.withColumn(BUCKET, _bucket(key, buckets))
+    # At most ``buckets`` numbers.
+    own = sorted(r[0] for r in batch.select(_bucket(key, buckets)).distinct().collect())
+    stored = spark.read.schema(_table_schema(batch.schema)).parquet(target).where(F.col(BUCKET).isin(own)).select(key, BUCKET)
+    return fresh.join(stored, [key, BUCKET], "left_anti").select(*batch.columns, BUCKET)
+
+
+def _merge_batch(target: str, key: str, buckets: int):
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # Repeats inside the batch first (the largest row per key, whatever the order), then keys already stored.
-        rest = [c for c in batch.columns if c != key]
-        row = F.struct(*rest)
-        fresh = batch.groupBy(key).agg(F.max(row).alias("_row")).select(key, "_row.*").select(*batch.columns)
-        stored = spark.read.schema(batch.schema).parquet(target).select(key)
-        fresh.join(stored, key, "left_anti").write.mode("append").parquet(target)
+        rows = new_records(batch, target, key, buckets)
+        # One file per bucket and batch.
+        rows.repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(target)
 
     return merge
 
@@ -39,15 +68,16 @@ def ingest_json_batches(
     key: str,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    buckets: int = BUCKETS,
 ):
     """Start (and, with ``available_now``, finish) the ingestion stream; returns the query."""
     # An empty table to begin with, so every batch finds one.
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(target)
+    spark.createDataFrame([], schema).withColumn(BUCKET, _bucket(key, buckets)).write.mode("ignore").partitionBy(BUCKET).parquet(target)
     reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(source_dir)
-    writer = stream.writeStream.foreachBatch(_merge_batch(target, key)).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(_merge_batch(target, key, buckets)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     query = writer.start()
     if available_now:

@@ -130,13 +130,15 @@ def test_id_batches_keep_last_partial_batch(spark):  # T13
     assert rows[0].ids.split(",")[:2] == ["0000", "0001"]
 
 
-def test_row_index_matches_row_number(spark):  # W2
+@pytest.mark.parametrize("range_rows", [None, 40, 7])
+def test_row_index_matches_row_number(spark, range_rows):  # W2
     rnd = random.Random(3)
-    rows = [(i, float(rnd.randint(0, 20))) for i in range(500)]
+    rows = [(i, None if i % 50 == 0 else float(rnd.randint(0, 20))) for i in range(500)]
     df = spark.createDataFrame(rows, "pid bigint, y double").repartition(7)
-    got = {r.pid: r.idx for r in with_row_index(df, [F.col("y"), F.col("pid")], "idx").collect()}
-    want = {pid: i for i, (pid, _) in enumerate(sorted(rows, key=lambda t: (t[1], t[0])))}
+    got = {r.pid: r.idx for r in with_row_index(df, [F.col("y"), F.col("pid")], "idx", range_rows).collect()}
+    want = {pid: i for i, (pid, _) in enumerate(sorted(rows, key=lambda t: (t[1] is not None, t[1] or 0, t[0])))}
     assert got == want
+    assert with_row_index(df.where("pid < 0"), ["y", "pid"], "idx", range_rows).count() == 0
 
 
 def _py_percentile(vals, p):

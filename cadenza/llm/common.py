@@ -106,22 +106,31 @@ def remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
-def labelled_sample(docs: DataFrame, labelled: DataFrame, per_label: int) -> list[tuple[str, object]]:
-    """(text, label) of at most ``per_label`` doc_ids of each label, by a hash of doc_id.
+#: Parts that the ids of a label are ranked in before they are ranked together.
+SAMPLE_PARTS = 64
 
-    ``labelled`` has doc_id and label; null labels and texts are left out, of
-    a repeated doc_id the smallest label and text count. Only ids are ranked,
-    with a limit in every task, so the bound holds for all that moves.
+
+def sample_rows(docs: DataFrame, labelled: DataFrame, per_label: int, label_of: Column | None = None) -> DataFrame:
+    """``doc_id, label, text`` of at most ``per_label`` doc_ids of each label, by a hash of doc_id.
+
+    ``labelled`` has doc_id and label; null labels and texts are left out. Of
+    a repeated doc_id the smallest label counts, and the smallest of its texts;
+    where the labels stand in ``docs`` (``label_of``), of the rows with that
+    label. Ids are ranked in parts first, so no task ranks all ids of a label.
     """
     rows = labelled.select(F.col("doc_id").cast("bigint").alias("doc_id"), "label").dropna().groupBy("doc_id").agg(F.min("label").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).select("doc_id", "label").collect()
-    if not chosen:
-        return []
-    labels = {r["doc_id"]: r["label"] for r in chosen}
-    ids = docs.sparkSession.createDataFrame([(i,) for i in labels], "doc_id bigint")
-    found = texts(docs.where(F.col("text").isNotNull())).join(F.broadcast(ids), "doc_id", "left_semi").collect()
-    once: dict = {}
-    for r in found:
-        once[r["doc_id"]] = min(r["text"], once.get(r["doc_id"], r["text"]))
-    return [(text, labels[i]) for i, text in sorted(once.items())]
+    rows = rows.withColumns({"h": F.xxhash64("doc_id"), "part": F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(SAMPLE_PARTS))})
+    for keys in (["label", "part"], ["label"]):
+        order = Window.partitionBy(*keys).orderBy("h", "doc_id")
+        rows = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label)
+    chosen = rows.select("doc_id", "label")
+    own = docs.where(F.col("text").isNotNull())
+    found = texts(own) if label_of is None else own.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), label_of.alias("label"))
+    # At most per_label rows of each label.
+    joined = found.join(F.broadcast(chosen), "doc_id" if label_of is None else ["doc_id", "label"])
+    return joined.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
+def labelled_sample(docs: DataFrame, labelled: DataFrame, per_label: int, label_of: Column | None = None) -> list[tuple[str, object]]:
+    """``sample_rows`` as (text, label), by ascending doc_id."""
+    return [(r["text"], r["label"]) for r in sorted(sample_rows(docs, labelled, per_label, label_of).collect(), key=lambda r: r["doc_id"])]

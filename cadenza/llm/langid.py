@@ -185,5 +185,5 @@ def predict_languages(docs: DataFrame, fold: int = 2, folds: int = 4, per_langua
     """Fit on the rows outside the held-out fold, predict all."""
     part = remainder(F.col("doc_id"), folds)
     labelled = docs.where(part != fold).select("doc_id", F.col("lang").alias("label"))
-    model = fit(labelled_sample(docs, labelled, per_language))
+    model = fit(labelled_sample(docs, labelled, per_language, F.col("lang")))
     return identify(docs, model, part == fold)

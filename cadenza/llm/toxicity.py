@@ -27,6 +27,7 @@ dropped (or kept, by ``reject``).
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm import kernels as K
-from cadenza.llm.common import byte_buffer, filter_blocks, labelled_sample, map_blocks, remainder, texts
+from cadenza.llm.common import byte_buffer, filter_blocks, map_blocks, remainder, sample_rows, ship, texts
 
 #: Labelled texts of each label that the network is trained on.
 PER_LABEL = 1600
@@ -382,10 +383,19 @@ def train(rows: list[tuple[str, int]], share: float) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3, per_label: int = PER_LABEL) -> Model:
-    """Train on the labelled rows outside the held-out fold."""
+    """Train on a bounded sample of the labelled rows outside the held-out fold, in a task; the driver gets the weights alone."""
     teaches = labels.where((remainder(F.col("doc_id"), folds) != fold) & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("label"))
-    share = teaches.agg(F.avg("label")).first()[0] or 0.0
-    return train(labelled_sample(docs, teaches, per_label), float(share))
+    share = float(teaches.agg(F.avg("label")).first()[0] or 0.0)
+    ship(docs.sparkSession)
+
+    def run(batches):
+        rows = [r for batch in batches for r in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist())]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(rows, share))], pa.binary())], ["model"])
+
+    sample = sample_rows(docs, teaches, per_label).coalesce(1).sortWithinPartitions("doc_id")
+    # A table without rows may have no task at all.
+    found = sample.select("text", "label").mapInArrow(run, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else train([], share)
 
 
 def score(docs: DataFrame, model: Model, fold: int = 1, folds: int = 3) -> DataFrame:

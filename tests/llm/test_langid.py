@@ -52,3 +52,19 @@ def test_learns_only_from_its_fold(spark):
     assert sorted(lang for _, lang in chosen) == ["de"] * 10 + ["en"] * 10
     wrong = [(i, t, "xx" if zlib.crc32(str(i).encode()) % 4 == 2 else lang) for i, t, lang in rows]
     assert "xx" not in {r.lang_pred for r in langid.predict_languages(documents(spark, wrong)).collect()}
+
+
+def test_sample_takes_label_and_text_of_one_row(spark):
+    from pyspark.sql import functions as F
+
+    from cadenza.llm.common import labelled_sample
+
+    rows = [(1, "b text", "en"), (1, "a text", "fr"), (2, "x", "en"), (3, None, "en"), (4, "y", None), (None, "z", "en"), (5, "w", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labelled = docs.select("doc_id", F.col("lang").alias("label"))
+    assert labelled_sample(docs, labelled, 10, F.col("lang")) == [("b text", "en"), ("x", "en"), ("w", "fr")]
+    many = spark.range(5000).selectExpr("id AS doc_id", "concat('t', id) AS text", "if(id % 3 = 0, 'a', 'b') AS lang")
+    found = labelled_sample(many, many.select("doc_id", F.col("lang").alias("label")), 700, F.col("lang"))
+    assert sorted({label: sum(x == label for _, x in found) for label in "ab"}.values()) == [700, 700]
+    again = labelled_sample(many.repartition(13), many.select("doc_id", F.col("lang").alias("label")), 700, F.col("lang"))
+    assert found == again

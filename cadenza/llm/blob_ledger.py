@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import map_blocks, texts
+from cadenza.llm.common import fresh, map_blocks, texts
 from cadenza.session import ensure_checkpoint_dir, materialize
 
 
@@ -41,6 +41,7 @@ class Rule:
     least: int = 0
     either_case: bool = False
     base: bool = False
+    span: int = 0  # the group that is the finding; a match without it is none
 
     @property
     def key(self) -> str:
@@ -48,7 +49,7 @@ class Rule:
 
     def find(self, text: str) -> list[tuple[int, int]]:
         compiled = re.compile(self.pattern, re.ASCII | (re.IGNORECASE if self.either_case else 0))
-        return [m.span() for m in compiled.finditer(text) if m.end(self.group) - m.start(self.group) >= self.least]
+        return [m.span(self.span) for m in compiled.finditer(text) if m.start(self.span) >= 0 and m.end(self.group) - m.start(self.group) >= self.least]
 
 
 #: A private key from its BEGIN line to its END line; where that is missing, over the header and base64 lines that follow.
@@ -58,6 +59,8 @@ _PEM = (
     r"|(?:(?:\s|\\[nr])+(?:Proc-Type|DEK-Info):[^\n\\]*+)*+(?:(?:\s|\\[nr])++[A-Za-z0-9+/]{16,}+={0,2})++(?:(?:\s|\\[nr])++[A-Za-z0-9+/]{1,15}+={0,2}(?![^\s\\\"']))?"
     r")?"
 )
+#: From the first eyJ of a run on; where that doesn't do, no later one of the run does, so the run is passed over at once.
+_JWT = r"(?:(?!eyJ)[A-Za-z0-9_-])*+(eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)|[A-Za-z0-9_-]++"
 #: The base kinds in their listed order, then the kinds added here.
 RULES = (
     Rule("assign", 1, r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", group=2, least=6, either_case=True, base=True),
@@ -65,7 +68,7 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]+", least=24, base=True),
     Rule("pem", 2, _PEM),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", 1, _JWT, span=1),
 )
 LEDGER = "blob binary, rules array<string>, findings array<struct<rule:string,start:int,stop:int>>"
 SECRET = "[SECRET]"
@@ -158,21 +161,23 @@ def redact(docs: DataFrame, path: str | None = None, rules: Sequence[Rule] = RUL
     """``docs`` with every finding replaced by ``[SECRET]`` and, where that changed a text, ``n_chars`` of the new one."""
     path = new_ledger(docs.sparkSession, path)
     found = findings(scan_unseen(docs, path, rules).select("blob", F.lit(0).alias("doc_id")).distinct(), path, rules)
-    found = found.where(F.size("findings") > 0).select(F.col("blob").alias("_blob"), F.transform("findings", lambda f: F.struct(f["start"].alias("start"), f["stop"].alias("stop"))).alias("_spans"))
-    rows = docs.join(found, blob(F.col("text")) == F.col("_blob"), "left")
+    # Columns of ours get names that the documents don't have.
+    blob_, spans, merged, clean = (fresh(docs, c) for c in ("found_blob", "found_spans", "found_merged", "found_clean"))
+    found = found.where(F.size("findings") > 0).select(F.col("blob").alias(blob_), F.transform("findings", lambda f: F.struct(f["start"].alias("start"), f["stop"].alias("stop"))).alias(spans))
+    rows = docs.join(found, blob(F.col("text")) == F.col(blob_), "left")
     # Overlapping spans become one; then the last goes first, so earlier places stay right.
-    merged = F.expr(
-        "aggregate(array_sort(_spans), cast(array() as array<struct<start:int,stop:int>>), (m, s) -> "
+    one = F.expr(
+        f"aggregate(array_sort({spans}), cast(array() as array<struct<start:int,stop:int>>), (m, s) -> "
         "if(size(m) > 0 and s.start < element_at(m, -1).stop, "
         "concat(slice(m, 1, size(m) - 1), array(named_struct('start', element_at(m, -1).start, 'stop', greatest(element_at(m, -1).stop, s.stop)))), "
         "concat(m, array(s))))"
     )
-    rows = rows.withColumn("_merged", F.when(F.col("_spans").isNotNull(), F.reverse(merged)))
-    clean = F.when(F.col("_merged").isNull(), F.col("text")).otherwise(F.expr(f"aggregate(_merged, text, (t, s) -> overlay(t placing '{SECRET}' from s.start + 1 for s.stop - s.start))"))
-    rows = rows.withColumn("_clean", clean)
-    changes = {"text": F.col("_clean")}
+    rows = rows.withColumn(merged, F.when(F.col(spans).isNotNull(), F.reverse(one)))
+    masked = F.expr(f"aggregate({merged}, text, (t, s) -> overlay(t placing '{SECRET}' from s.start + 1 for s.stop - s.start))")
+    rows = rows.withColumn(clean, F.when(F.col(merged).isNull(), F.col("text")).otherwise(masked))
+    changes = {"text": F.col(clean)}
     if "n_chars" in docs.columns:
-        changes["n_chars"] = F.when(F.col("_merged").isNull(), F.col("n_chars")).otherwise(F.length("_clean")).cast(docs.schema["n_chars"].dataType)
+        changes["n_chars"] = F.when(F.col(merged).isNull(), F.col("n_chars")).otherwise(F.length(clean)).cast(docs.schema["n_chars"].dataType)
     return rows.select(*[changes[c].alias(c) if c in changes else F.col(f"`{c}`") for c in docs.columns])
 
 

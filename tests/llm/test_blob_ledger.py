@@ -100,3 +100,28 @@ def test_whole_private_keys_are_masked(spark):
     assert got[3].startswith("a [SECRET]\n") and got[3].endswith("so, on")
     assert got[4] == "a [SECRET]\n\n[SECRET] b"
     assert got[5] == "a [SECRET] and prose"
+
+
+def test_redact_keeps_clashing_columns(spark):
+    text = "password: hunter2secret and more"
+    names = ["found_blob", "found_spans", "found_merged", "found_clean", "_blob", "_spans", "_merged", "_clean"]
+    docs = spark.createDataFrame([(1, text, 99, *names), (2, "plain", 5, *names)], "doc_id bigint, text string, n_chars int, " + ", ".join(f"{n} string" for n in names))
+    got = {r.doc_id: r for r in bl.redact(docs).collect()}
+    assert got[1].text != text and "[SECRET]" in got[1].text and got[1].n_chars == len(got[1].text)
+    assert got[2].text == "plain" and got[2].n_chars == 5
+    assert all(tuple(r[n] for n in names) == tuple(names) for r in got.values())
+
+
+def test_jwt_as_the_plain_pattern_and_in_linear_time():
+    import random
+    import time
+
+    plain = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", re.ASCII)
+    rule = next(r for r in bl.RULES if r.kind == "jwt")
+    rng = random.Random(4)
+    for _ in range(3000):
+        text = "".join(rng.choice(["eyJ", "eyJ", "abcdefgh", "a", ".", ".", "-_", " ", "eyJabcdefgh.", "é"]) for _ in range(rng.randint(0, 14)))
+        assert rule.find(text) == [m.span() for m in plain.finditer(text)], text
+    begin = time.perf_counter()
+    assert rule.find("eyJ" * 400_000) == [] and rule.find("eyJ." * 200_000) == []
+    assert time.perf_counter() - begin < 10

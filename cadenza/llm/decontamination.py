@@ -14,6 +14,13 @@ block of ``ITEMS`` items with the block's largest impact of each word; where
 that sum and the block's largest rest stay below the threshold, the block is
 skipped; only the others get exact scores.
 
+An item may stand in a document in parts, none of which fills a passage. So
+the passages of a document also query together, with all their distinct words,
+and retrieve the items whose score reaches the item's own bound: that of its
+words less the most that can be absent while ``SHINGLE_SHARE`` of the
+shingles stand there (``most_absent``). No item that verification would accept
+stays under that bound, wherever its parts stand.
+
 What is retrieved is verified in the whole text by the share of the item's
 five-word shingles that stand there. The shares of the words of its question
 (all but the last sentence) and its answer (the last one) that those cover are
@@ -98,6 +105,38 @@ class Item:
         return float(hit[first].mean()), float(question.mean()), float(covered[self.answer :].mean())
 
 
+def most_absent(weights: np.ndarray, missing: int, distinct: bool) -> float:
+    """The largest weight of words that a text can lack while it lacks at most ``missing`` of their shingles.
+
+    ``weights`` has a weight per word of an item of at least ``SHINGLE_WORDS`` words, 0 where a word comes
+    again; ``distinct``: no shingle comes twice. Each absent word takes with it all shingles that it is in, so
+    a dynamic program over the places of absent words counts the shingles that go. With repeated shingles the
+    ``missing + 4`` largest weights are a bound: the shingles that end with the absent words' first places are
+    distinct, but for the first four words.
+    """
+    if not missing:
+        return 0.0
+    if not distinct:
+        return float(np.sort(weights)[::-1][: missing + SHINGLE_WORDS - 1].sum())
+    n, last = len(weights), len(weights) - SHINGLE_WORDS
+    # best[k]: the largest weight for at most k shingles, up to a place; own[q]: the same with q the last absent place.
+    best, own = np.zeros(missing + 1), []
+    none = np.full(missing + 1, -np.inf)
+    far = [none] * n  # the best whose last absent place is at most this one
+    for p in range(n):
+        found = none.copy()
+        for q in (None, *range(max(0, p - SHINGLE_WORDS + 1), p)):
+            first = max(p - SHINGLE_WORDS + 1, 0) if q is None else max(p - SHINGLE_WORDS + 1, q + 1, 0)
+            cost = max(0, min(p, last) - first + 1)
+            before = (np.maximum(0.0, far[p - SHINGLE_WORDS]) if p >= SHINGLE_WORDS else np.zeros(missing + 1)) if q is None else own[q]
+            if cost <= missing:
+                found[cost:] = np.maximum(found[cost:], before[: missing + 1 - cost])
+        own.append(found + weights[p])
+        far[p] = np.maximum(far[p - 1] if p else none, own[p])
+        best = np.maximum(best, own[p])
+    return float(best.max())
+
+
 class Index:
     """Normalised impacts of the items' words: essential postings by block, and all of them by piece."""
 
@@ -122,6 +161,7 @@ class Index:
             raw = {t: idf[t] * c * (K1 + 1) / (c + K1 * (1 - B + B * count.sum() / mean)) for t, c in zip(terms, count.tolist())}
             own = sum(raw.values())
             self.impacts.append({t: v / own for t, v in raw.items()})
+        self._whole_items(idf, mean)
         self.n_blocks = -(-n // ITEMS)
         rest = np.zeros(self.n_blocks)
         block_max: dict[tuple[int, int], float] = defaultdict(float)
@@ -139,6 +179,58 @@ class Index:
         self.post_value = np.array([block_max[k] for k in order])
         self.post_at = np.searchsorted(np.array([t for t, _ in order], np.int64), np.arange(len(self.vocabulary) + 1))
 
+    def _whole_items(self, idf: dict[int, float], mean: float) -> None:
+        """Postings of the items as a whole: their essential words, by block, as shares of what a document needs of them."""
+        self.item_words: list[np.ndarray] = []
+        self.item_weights: list[np.ndarray] = []
+        self.item_bounds: list[float] = []
+        block_max: dict[tuple[int, int], float] = defaultdict(float)
+        for i, item in enumerate(self.items):
+            words, first, count = np.unique(item.words, return_index=True, return_counts=True)
+            terms = np.searchsorted(self.vocabulary, words)
+            raw = np.array([idf[t] for t in terms.tolist()]) * count * (K1 + 1) / (count + K1 * (1 - B + B * len(item.words) / mean))
+            raw /= raw.sum()
+            placed = np.zeros(len(item.words))
+            placed[first] = raw
+            shingles = len(np.unique(item.shingles))
+            absent = 0.0
+            if len(item.words) >= SHINGLE_WORDS:
+                missing = shingles - math.ceil(SHINGLE_SHARE * shingles - 1e-9)
+                absent = most_absent(placed, missing, shingles == len(item.shingles))
+            bound = max(1.0 - absent - 1e-9, 1e-9)
+            self.item_words.append(terms)
+            self.item_weights.append(raw)
+            self.item_bounds.append(bound)
+            order = np.lexsort((terms, [-idf[t] for t in terms.tolist()]))
+            rest = 1.0 - np.cumsum(raw[order])
+            essential = order[: int(np.searchsorted(-rest, -bound * REST, "right")) + 1]
+            need = bound - max(1.0 - raw[essential].sum(), 0.0)
+            for t, w in zip(terms[essential].tolist(), raw[essential].tolist()):
+                block_max[t, i // ITEMS] = max(block_max[t, i // ITEMS], w / need)
+        keys = sorted(block_max)
+        self.whole_block = np.array([b for _, b in keys], np.int64)
+        self.whole_value = np.array([block_max[k] for k in keys])
+        self.whole_at = np.searchsorted(np.array([t for t, _ in keys], np.int64), np.arange(len(self.vocabulary) + 1))
+
+    def retrieve_whole(self, terms: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(row, item) of every document and the items of which it has enough words; ``terms`` and ``row`` are of all known words."""
+        distinct = np.unique(row * len(self.vocabulary) + terms)
+        row, terms = np.divmod(distinct, len(self.vocabulary))
+        length = self.whole_at[terms + 1] - self.whole_at[terms]
+        at = K.ranges(self.whole_at[terms], length)
+        blocks_ = -(-len(self.items) // ITEMS)
+        keys, where = np.unique(np.repeat(row, length) * blocks_ + self.whole_block[at], return_inverse=True)
+        keys = keys[np.bincount(where, self.whole_value[at], len(keys)) >= 1.0 - 1e-9]
+        of, have = -1, np.zeros(len(self.vocabulary), bool)
+        for r, b in zip((keys // blocks_).tolist(), (keys % blocks_).tolist()):
+            if r != of:
+                have[:] = False
+                have[terms[np.searchsorted(row, r) : np.searchsorted(row, r + 1)]] = True
+                of = r
+            for i in range(b * ITEMS, min(len(self.items), (b + 1) * ITEMS)):
+                if self.item_weights[i][have[self.item_words[i]]].sum() >= self.item_bounds[i] - 1e-9:
+                    yield r, i
+
     def candidates(self, terms: np.ndarray, step: np.ndarray) -> np.ndarray:
         """Keys ``passage * n_blocks + block`` whose bound reaches the threshold; passage i covers steps i and i + 1."""
         distinct = np.unique(step * len(self.vocabulary) + terms)
@@ -154,7 +246,7 @@ class Index:
         return keys[total >= THRESHOLD]
 
     def retrieve(self, hashes: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int, float]]:
-        """(row, item, score) of every passage's items at or above the threshold; an item may come more than once."""
+        """(row, item, score) of every passage's items at or above the threshold, and with score 0 what a whole document retrieves; an item may come more than once."""
         if not len(self.vocabulary) or not len(hashes):
             return
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
@@ -179,6 +271,19 @@ class Index:
                     score = sum(impacts[t] for t in have.intersection(impacts))
                     if score >= THRESHOLD:
                         yield int(row[a]), self.pieces[p][0], score
+        for r, item in self.retrieve_whole(terms, row):
+            yield r, item, 0.0
+
+    def best_passage(self, item: int, hashes: np.ndarray) -> float:
+        """The item's highest score in a passage of one text."""
+        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        known = np.flatnonzero(self.vocabulary[at] == hashes)
+        own = [impacts for (k, _), impacts in zip(self.pieces, self.impacts) if k == item]
+        best = 0.0
+        for start in np.unique(known // STEP).tolist():
+            have = set(at[known[np.searchsorted(known, start * STEP) : np.searchsorted(known, start * STEP + PASSAGE)]].tolist())
+            best = max(best, *(sum(x[t] for t in have.intersection(x)) for x in own))
+        return best
 
     def verified(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, float, float, float, float]]:
         """(row, item_id, score, shingle share, question share, answer share) of what was retrieved and holds in the whole text."""
@@ -200,6 +305,7 @@ class Index:
             else:
                 share, question, answer = own.overlap(there)
             if share >= SHINGLE_SHARE:
+                score = score or self.best_passage(item, hashes[rows[row] : rows[row + 1]])
                 out.append((row, own.item_id, min(score, 1.0), share, question, answer))
         return out
 

@@ -91,3 +91,48 @@ def test_edits_in_and_before_a_short_last_sentence(spark):
     assert got == brute(docs, bench) and {(10, 1), (11, 1), (12, 1), (20, 2), (30, 3)} <= got
     kept = {r.doc_id for r in de.decontaminate(documents(spark, docs), items(spark, bench)).collect()}
     assert kept == {d for d, _ in docs} - {d for d, _ in got}
+
+
+@pytest.mark.parametrize("length,parts", [(48, 3), (48, 2), (100, 5), (60, 4), (200, 9)])
+def test_items_in_parts(spark, length, parts):
+    """An item whose parts stand far from one another, in any order, matches if 80 percent of its shingles stand there."""
+    rng = random.Random(length + parts)
+    word = lambda: "w" + str(int(rng.paretovariate(0.4)) % 3000)
+    bench = [(i, " ".join(word() for _ in range(length))) for i in range(20)]
+    docs = []
+    for i, text in bench:
+        own = text.split()
+        cuts = [length * k // parts for k in range(parts + 1)]
+        pieces = [own[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        rng.shuffle(pieces)
+        docs.append((i, " ".join(" ".join([*p, *[word() for _ in range(100)]]) for p in pieces)))
+        docs.append((100 + i, " ".join(" ".join([*p[:-3], *[word() for _ in range(100)]]) for p in pieces)))
+    got = de.contaminated(documents(spark, docs), items(spark, bench)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == brute(docs, bench)
+    assert all(0 < r.score <= 1 for r in got)
+    if 5 * 4 * (parts - 1) <= length - 4:
+        assert {(i, i) for i, _ in bench} <= {(r.doc_id, r.item_id) for r in got}
+
+
+def test_most_absent_against_all_choices():
+    """No choice of absent words that leaves enough shingles weighs more than the bound."""
+    from itertools import combinations
+
+    rng = random.Random(9)
+    for n in (5, 6, 7, 9, 11):
+        for repeated in (False, True):
+            for _ in range(12):
+                words = [rng.randrange(n // 2 + 1) if repeated else i for i in range(n)]
+                weight = {w: rng.random() for w in words}
+                first = [weight[w] if w not in words[:i] else 0.0 for i, w in enumerate(words)]
+                own = [tuple(words[i : i + 5]) for i in range(n - 4)]
+                for missing in range(len(set(own))):
+                    best = 0.0
+                    for k in range(len(weight) + 1):
+                        for gone in combinations(weight, k):
+                            if sum(bool(set(s) & set(gone)) for s in set(own)) <= missing:
+                                best = max(best, sum(weight[w] for w in gone))
+                    bound = de.most_absent(de.np.array(first), missing, len(set(own)) == len(own))
+                    assert bound >= best - 1e-9
+                    if not repeated:
+                        assert abs(bound - best) < 1e-9

@@ -23,6 +23,7 @@ gives an empty result; other columns are dropped.
 
 from __future__ import annotations
 
+import bisect
 from collections import defaultdict
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -194,7 +195,7 @@ class Scanner:
         return out
 
     def spans(self, matches: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Best chain of each template: (label, first word, end word, coverage)."""
+        """Chains of each template, best first, that don't overlap one another: (label, first word, end word, coverage)."""
         by: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         for template, own, text, length in matches:
             by[template].append((text, own, length))
@@ -213,8 +214,14 @@ class Scanner:
                     if t < text and o < own and over < length and text - (t + n) <= GAP and best[j][0] + length - over > score:
                         score, first = best[j][0] + length - over, best[j][1]
                 best.append((score, first))
-            top = max(range(len(parts)), key=lambda i: best[i][0])
-            out.append((self.labels[template], best[top][1], parts[top][0] + parts[top][2], min(1.0, best[top][0] / len(self.tokens[template]))))
+            taken: list[tuple[int, int]] = []
+            for i in sorted(range(len(parts)), key=lambda i: (-best[i][0], i)):
+                (score, first), stop = best[i], parts[i][0] + parts[i][2]
+                at = bisect.bisect_left(taken, (stop, 0))
+                if at and taken[at - 1][1] > first:
+                    continue
+                taken.insert(at, (first, stop))
+                out.append((self.labels[template], first, stop, min(1.0, score / len(self.tokens[template]))))
         return out
 
 

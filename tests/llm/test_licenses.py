@@ -67,3 +67,15 @@ def test_matching_statistics_match_brute_force():
                 own = text[i + 1 - n : i + 1]
                 assert set(a.ends[state]) == {j for j, t in enumerate(templates) if inside(own, t)}
                 assert all(templates[j][e - n : e] == own for j, e in a.ends[state].items())
+
+
+def test_every_notice_of_a_text_has_its_span(spark):
+    words = MIT.split()
+    text = " ".join([*words, "filler " * 40, *words, "other " * 3, *words])
+    got = li.scan_licenses(documents(spark, [(1, text)])).first()
+    n, a = len(words), [0, len(words) + 40, 2 * len(words) + 43]
+    assert sorted((s.first, s.stop) for s in got.spans if s.label == "mit") == [(i, i + n) for i in a]
+    assert all(s.coverage == 1.0 for s in got.spans if s.label == "mit") and got.score == 1.0
+    for label in {s.label for s in got.spans}:
+        own = sorted((s.first, s.stop) for s in got.spans if s.label == label)
+        assert all(x[1] <= y[0] for x, y in zip(own, own[1:]))

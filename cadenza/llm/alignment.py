@@ -43,13 +43,13 @@ from pyspark.sql import functions as F
 from cadenza.llm import kernels as K
 from cadenza.llm.bpe import SliceCache, distinct_slices
 from cadenza.llm.common import blocks, byte_buffer, map_blocks, ship, texts
-from cadenza.llm.pfor import load_encoder
+from cadenza.llm.pfor import LibraryEncoder
 from cadenza.session import materialize
 
 #: A region closes at so many links (a longer document stays whole).
-REGION_LINKS = 1 << 21
-#: Distinct words of side B kept by one worker.
-CACHE_SLICES = 1 << 19
+REGION_LINKS = 1 << 20
+#: Distinct slices of each side kept by one worker.
+CACHE_SLICES = 1 << 18
 #: Rows of a region's pair table handed on at once.
 PAIR_ROWS = 1 << 16
 
@@ -81,7 +81,8 @@ class Sides:
     def __init__(self, a_path: str, b_path: str) -> None:
         import sentencepiece
 
-        self.a = load_encoder(a_path)
+        self.a = LibraryEncoder(a_path)
+        self.a.cache = SliceCache(CACHE_SLICES)
         values = {c: b for b, c in self.a.shown.items()}
         vocabulary = self.a.tokenizer.get_vocab()
         a_pieces = [b""] * (max(vocabulary.values()) + 1)
@@ -115,6 +116,7 @@ class Sides:
         """Ids of B, end to end, and the n + 1 row offsets; ``data`` has the spaced texts.
 
         Each distinct word, which is spaces and what follows up to the next space, goes to the library once.
+        Only a text that holds "▁" itself may get other ids so, and that has no tokens: its bytes come back as a space.
         """
         if not self.by_words:
             lists = self.b.encode(column.to_pylist(), num_threads=1)

@@ -25,13 +25,11 @@ MOST_RANGES = 1 << 12
 KEYS_PER_RANGE = 16
 
 
-def _with_range(df: DataFrame, keys: str, bounds: Column | None) -> DataFrame:
+def _with_range(df: DataFrame, keys: str, bounds: Column) -> DataFrame:
     """``df`` with ``_range``: how many of the ascending bounds (at most ``MOST_RANGES`` - 1) are below or at the keys.
 
     Two binary searches as nested CASEs, among every 64th bound and among the 64 after it; a bound that isn't there is above all keys.
     """
-    if bounds is None:
-        return df.withColumn("_range", F.lit(0))
 
     def search(place, lo: int, hi: int) -> Column:
         if lo == hi:
@@ -66,8 +64,9 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], index_col: str
         places = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("s", F.least(F.floor(i * step), F.size("s") - 1).cast("int")))
         bounds = materialize(sampled.select(places.alias("b")))
         one = bounds.select("b").scalar()
-    else:
-        one = None
+    else:  # at most range_rows rows: one window
+        place = F.row_number().over(Window.orderBy("_key"))
+        return rows.withColumn("_place", place).select(*cols, (F.col("_place").cast("long") - 1).alias(index_col))
     sizes = _with_range(keys, "k", one).groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     # One row per range.
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

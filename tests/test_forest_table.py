@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cadenza.operators import modeling as M
-from cadenza.operators.forest_table import node_importances, predict, saved_nodes
+from cadenza.operators.forest_table import node_importances, predict, predict_first, saved_nodes
 from cadenza.plans import q_modeling as Q
 from cadenza.sources.sinks import save_model
 from tests.oracle_harness import compare, duck
@@ -53,6 +53,19 @@ def test_predictions_follow_from_the_nodes(forest, con):
     assert con.execute("SELECT count(*), count(DISTINCT tree), max(feature) FROM nodes").fetchone()[1] == 12
 
 
+def test_first_trees_are_scored_without_a_row_per_tree(forest):
+    nodes, model, scored = forest
+    last = model.stages[-1]
+    own = last.copy({last.leafCol: "leaf", last.predictionCol: "p"})
+    fast = predict_first(own, nodes, scored, ["pid"], [3, 12])
+    slow = predict(nodes, scored, "scaled_features", ["pid"], 5, [3, 12])
+    plan = fast._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    pairs = fast.join(slow.toDF("pid", "s3", "s12"), "pid").collect()
+    assert len(pairs) == scored.count() > 100
+    assert all(abs(r.prediction_3 - r.s3) < 1e-9 and abs(r.prediction_12 - r.s12) < 1e-9 for r in pairs)
+
+
 def test_importances_follow_from_the_nodes(spark, forest, con):
     nodes, model, _ = forest
     names = ", ".join(f"({i}, '{f}')" for i, f in enumerate(Q.FEATURES))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.scalar import epoch_to_date, tokens
 from cadenza.operators.quantiles import percentile_columns
+from cadenza.session import materialize
 
 
 def frequency(df: DataFrame, key: str | Column, name: str | None = None) -> DataFrame:
@@ -101,9 +102,10 @@ def describe_strings(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def describe_quartiles(df: DataFrame, columns: Sequence[str], with_count: bool = True) -> DataFrame:
-    """Describe plus exact linear 25/50/75 % (pandas ``describe``)."""
-    base = describe_long(df, columns)
-    wide = percentile_columns(df, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).withColumnRenamed("feature", "column")
+    """Describe plus exact linear 25/50/75 % (pandas ``describe``). The columns are written once, for both."""
+    rows = materialize(df.select(*columns))
+    base = describe_long(rows, columns)
+    wide = percentile_columns(rows, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).withColumnRenamed("feature", "column")
     out = base.join(wide, "column", "left")
     return out if with_count else out.drop("count")
 

@@ -294,6 +294,7 @@ def region_pairs(table: DataFrame) -> DataFrame:
     names = ["region", "place", "pair", "holders"]
 
     def run(batches):
+        load_sides.cache_clear()  # a worker that made regions before holds tokenizers and caches, which no later step needs
         for batch in batches:
             for region, pairs, holders in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 pairs, holders = np.frombuffer(pairs, "<i8"), np.frombuffer(holders, "<i8")
@@ -323,6 +324,7 @@ def alignment_digests(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     values = pairs.select("region", "place", "pair").join(pair_counts(pairs), "pair").select("region", "place", "n", "best")
 
     def region(own: pa.Table, counted: pa.Table) -> pa.Table:
+        load_sides.cache_clear()
         if not own.num_rows:
             return pa.table({c.split()[0]: pa.array([], pa.string() if c.endswith("string") else pa.int64()) for c in OUT.split(", ")})
         row = own.to_pylist()[0]

@@ -1,4 +1,4 @@
-"""The registered search takes the whole grid of the operator."""
+"""The registered search and run matrix take the whole grid of the operator."""
 
 from __future__ import annotations
 
@@ -32,3 +32,17 @@ def test_the_search_takes_the_whole_grid(spark, prepared, monkeypatch):
     monkeypatch.setattr(S, "search_results", results)
     assert Q.forest_cv_metrics(spark, "").count() == 1
     assert seen == [GRID] and 90 == 3 * 3 * 5 * 2
+
+
+def test_the_tuned_runs_take_the_whole_grid(spark, prepared, monkeypatch):
+    seen, signature = [], inspect.signature(S.run_matrix)
+
+    def matrix(*args, **kwargs):
+        own = signature.bind(*args, **kwargs)
+        own.apply_defaults()
+        seen.append({k: own.arguments[k] for k in ("runs", "spec", "folds", "grid")})
+        return spark.range(1)
+
+    monkeypatch.setattr(S, "run_matrix", matrix)
+    assert Q.ablation(spark, "").count() == 1
+    assert seen == [{"runs": (*S.DEFAULT_RUNS, *S.TUNED_RUNS), "spec": M.ForestSpec(), "folds": 3, "grid": {}}]
